@@ -72,6 +72,25 @@ def md5_slices(salt: str, key: Column, n: int = 4) -> list[Column]:
             / F.lit(4294967296.0) for i in range(n)]
 
 
+M32 = 4294967296
+
+
+def int_uniform(key: ColLike, salt: int) -> Column:
+    """Cheap deterministic uniform in [0, 1) from a non-negative integer key.
+
+    Integer multiply / xor-shift mixing kept below 2^63 at every step, so it
+    is exact in 64-bit arithmetic in any engine and stays in codegen (no
+    strings).  ``key`` must be < 2^31.
+    """
+    k = col(key).cast("bigint")
+    x = (k * F.lit(2654435761) + F.lit(salt * 40503 + 12345)) % F.lit(M32)
+    x = (x * F.lit(1597334677)) % F.lit(M32)
+    x = x.bitwiseXOR(F.shiftright(x, 13))
+    x = (x * F.lit(1274126177)) % F.lit(M32)
+    x = x.bitwiseXOR(F.shiftright(x, 16))
+    return x / F.lit(float(M32))
+
+
 # ---------------------------------------------------------------- strings --
 
 def ascii_only(c: ColLike) -> Column:

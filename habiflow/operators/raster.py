@@ -94,6 +94,14 @@ class RasterSpec:
                 f"{self.time_size - 1})")
 
 
+TIME_BLOCK_DEFAULT = 52
+
+
+def raster_time_block(raster: DataFrame) -> int:
+    """Time steps per ``tblock`` partition (fixture layout: 52)."""
+    return TIME_BLOCK_DEFAULT
+
+
 def index_raster(raster: DataFrame, spec: RasterSpec) -> DataFrame:
     """Add ``itime, ilat, ilon`` to a raster that only carries values."""
     out = raster
@@ -135,7 +143,8 @@ def effective_time(df: DataFrame, spec: RasterSpec, datetime_col: str | None = "
 def nearest_cell_join(points: DataFrame, raster: DataFrame, spec: RasterSpec,
                       lat_col: str = "decimalLatitude", lon_col: str = "decimalLongitude",
                       datetime_col: str | None = "datetime", target_date: str | None = None,
-                      prefix: str = "gridmet_") -> DataFrame:
+                      prefix: str = "gridmet_", broadcast_points_max_rows: int | None = None
+                      ) -> DataFrame:
     """Nearest-cell raster join (C1 with C2).
 
     1. effective date per row (see :func:`effective_time`);
@@ -146,9 +155,13 @@ def nearest_cell_join(points: DataFrame, raster: DataFrame, spec: RasterSpec,
        NaN variable are dropped;
     5. output = input columns + ``{prefix}lat/lon/date`` + the variables.
 
-    Plan: both sides are partitioned by the three integer keys (or the raster
-    side is pruned by time through dynamic partition pruning when the raster
-    table is partitioned by time); AQE splits hot cells.
+    Plan: a sort-merge join on the three integer cell keys (both sides
+    hash-partitioned by cell; AQE splits hot cells).  The raster side is never
+    broadcast: its size grows with the data and planner estimates of derived
+    cubes can be far too small.  ``broadcast_points_max_rows`` opts into
+    broadcasting the *points* after counting them (a checked bound), which
+    is the right plan for scoring a handful of coordinates against a huge
+    raster.
     """
     lat, lon = F.col(lat_col), F.col(lon_col)
     t = effective_time(points, spec, datetime_col, target_date)
@@ -163,15 +176,26 @@ def nearest_cell_join(points: DataFrame, raster: DataFrame, spec: RasterSpec,
     vars_ = list(spec.variables)
     cells = clean_raster(index_raster(raster, spec), spec).select(
         F.col("itime").alias("__itime"), F.col("ilat").alias("__ilat"), F.col("ilon").alias("__ilon"),
-        *[F.col(v) for v in vars_])
+        *[F.col(v) for v in vars_], *([F.col("tblock")] if "tblock" in raster.columns else []))
     full = F.lit(True)
     for v in vars_:
         full = full & F.col(v).isNotNull()
     cells = cells.filter(full)
+    keys = ["__itime", "__ilat", "__ilon"]
+    if "tblock" in raster.columns:
+        # raster partitioned by time block: the equality lets dynamic
+        # partition pruning skip every block no point falls into
+        block = raster_time_block(raster)
+        cells = cells.withColumnRenamed("tblock", "__tblock")
+        keyed = keyed.withColumn("__tblock", (F.col("__itime") / block).cast("int"))
+        keys = ["__tblock"] + keys
     # drop input columns that the join would duplicate (re-enrichment)
     clash = [c for c in vars_ + [f"{prefix}lat", f"{prefix}lon", f"{prefix}date"] if c in points.columns]
     keyed = keyed.drop(*clash)
-    j = keyed.join(cells, ["__itime", "__ilat", "__ilon"], "inner")
+    if broadcast_points_max_rows is not None and keyed.count() <= broadcast_points_max_rows:
+        j = cells.join(F.broadcast(keyed), keys, "inner")
+    else:
+        j = keyed.hint("merge").join(cells, keys, "inner")
     return (j.withColumn(f"{prefix}lat", spec.lat.value(F.col("__ilat")))
              .withColumn(f"{prefix}lon", spec.lon.value(F.col("__ilon")))
              .withColumn(f"{prefix}date", spec.time_value(F.col("__itime")))

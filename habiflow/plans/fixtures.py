@@ -3,7 +3,8 @@
 Every table here is a pure function of the driver parquet files, so its size
 grows with the scale factor.  The same derivation is written twice: once as
 DataFrame code (what the queries run) and once as DuckDB SQL text (what the
-oracle runs).  Randomness is the md5 uniform ``u(salt, key)`` only, so both
+oracle runs).  Randomness is the md5 uniform ``u(salt, key)`` (per-row tables) or
+the integer-mix uniform ``int_uniform`` (the raster cube), so both
 engines produce identical values.
 
 Tables
@@ -115,19 +116,67 @@ def occ(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _staged_int_uniforms(df: DataFrame, key: str, salts: list[int]) -> DataFrame:
+    """Add ``__u<salt>`` = int_uniform(key, salt) in staged projections, so
+    intermediates that are used twice stay attributes instead of being
+    inlined (and recomputed) by the optimizer."""
+    m = F.lit(H.M32)
+    k = F.col(key).cast("bigint")
+    x = df.select("*", *[(((k * F.lit(2654435761) + F.lit(s * 40503 + 12345)) % m) * F.lit(1597334677) % m)
+                         .alias(f"__a{s}") for s in salts])
+    x = x.select(*[c for c in x.columns if not c.startswith("__a")],
+                 *[F.col(f"__a{s}").bitwiseXOR(F.shiftright(F.col(f"__a{s}"), 13)).alias(f"__b{s}")
+                   for s in salts])
+    x = x.select(*[c for c in x.columns if not c.startswith("__b")],
+                 *[((F.col(f"__b{s}") * F.lit(1274126177)) % m).alias(f"__c{s}") for s in salts])
+    return x.select(*[c for c in x.columns if not c.startswith("__c")],
+                    *[(F.col(f"__c{s}").bitwiseXOR(F.shiftright(F.col(f"__c{s}"), 16)) / F.lit(float(H.M32)))
+                      .alias(f"__u{s}") for s in salts])
+
+
+TIME_BLOCK = 52   # time steps per raster partition (about a year of weeks)
+
+
 def raster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The climate cube as a Parquet table partitioned by ``tblock``.
+
+    Derived once per input folder and written under the shared checkpoint
+    folder (``spark.checkpoint.dir``); later calls read it back.  Reading
+    Parquet gives the planner true sizes and lets joins prune partitions by
+    the points' time blocks (dynamic partition pruning).
+    """
+    import hashlib
+    from habiflow.session import stage_path
+    src = os.path.join(sf_dir, "customer.parquet")
+    st = os.stat(src) if os.path.exists(src) else None
+    tag = hashlib.md5(f"{os.path.abspath(sf_dir)}|{st.st_size if st else 0}|"
+                      f"{st.st_mtime_ns if st else 0}|v2".encode()).hexdigest()[:16]
+    path = stage_path(spark, f"raster_{tag}")
+    if not os.path.exists(os.path.join(path, "_SUCCESS")):
+        (raster_generated(spark, sf_dir).withColumn("tblock", (F.col("itime") / TIME_BLOCK).cast("int"))
+         .repartition("tblock").write.mode("overwrite").partitionBy("tblock").parquet(path))
+    cols = ["itime", "ilat", "ilon", "time", "lat", "lon", *CLIMATE_VARS, "tblock"]
+    return spark.read.parquet(path).select(*cols)
+
+
+def raster_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long-form climate cube ``(itime, ilat, ilon, time, lat, lon, vars...)``."""
     t = read(spark, sf_dir, "customer").select(F.col("c_custkey").cast("int").alias("itime"))
-    la = spark.range(LAT_AXIS.size).select(F.col("id").cast("int").alias("ilat"))
-    lo = spark.range(LON_AXIS.size).select(F.col("id").cast("int").alias("ilon"))
-    # the two spatial axes are fixed 12 and 29 rows: a broadcast cross product
-    cube = t.crossJoin(F.broadcast(la.crossJoin(lo)))
-    key = F.concat_ws(":", F.col("ilat").cast("string"), F.col("ilon").cast("string"),
-                      F.col("itime").cast("string"))
-    u = H.md5_slices("clim1", key) + H.md5_slices("clim2", key)
+    # spread time steps over the cluster before expanding them (the customer
+    # file may be a single split); then every time step expands to the fixed
+    # 12 x 29 spatial grid by a generator, which stays in codegen
+    t = t.repartition("itime")
+    n_cells = LAT_AXIS.size * LON_AXIS.size
+    cube = (t.select("itime", F.explode(F.sequence(F.lit(0), F.lit(n_cells - 1))).alias("cell"))
+             .select("itime", (F.col("cell") / LON_AXIS.size).cast("int").alias("ilat"),
+                     (F.col("cell") % LON_AXIS.size).cast("int").alias("ilon")))
+    cube = cube.withColumn(
+        "__key", (F.col("itime").cast("bigint") * LAT_AXIS.size + F.col("ilat")) * LON_AXIS.size + F.col("ilon"))
+    salts = list(range(1, len(CLIMATE_VARS) + 1))
+    cube = _staged_int_uniforms(cube, "__key", salts)
     vals = []
     for k, (name, (base, span)) in enumerate(zip(CLIMATE_VARS, VAR_RANGES)):
-        v = F.lit(base) + F.lit(span) * u[k]
+        v = F.lit(base) + F.lit(span) * F.col(f"__u{salts[k]}")
         if name == "air_temperature":
             v = F.when((7 * F.col("ilat") + 3 * F.col("ilon") + F.col("itime")) % 41 != 0, v)
         if name == "wind_speed":
@@ -245,8 +294,14 @@ def U(salt: str, key_sql: str) -> str:
             f" / 4294967296.0)")
 
 
-def U_slice(h: str, k: int) -> str:
-    return f"(CAST(('0x' || substr({h}, {1 + 8 * k}, 8)) AS BIGINT) / 4294967296.0)"
+def U_int(key_sql: str, salt: int) -> str:
+    """DuckDB text of :func:`habiflow.functions.int_uniform`."""
+    m = 4294967296
+    x = f"((CAST({key_sql} AS BIGINT) * 2654435761 + {salt * 40503 + 12345}) % {m})"
+    x = f"(({x} * 1597334677) % {m})"
+    x = f"xor({x}, {x} >> 13)"
+    x = f"(({x} * 1274126177) % {m})"
+    return f"(xor({x}, {x} >> 16) / {float(m)})"
 
 
 OCC_SQL = f"""
@@ -296,8 +351,7 @@ _RKEY = "CAST(ilat AS VARCHAR) || ':' || CAST(ilon AS VARCHAR) || ':' || CAST(it
 def _raster_vars_sql() -> str:
     out = []
     for k, (name, (base, span)) in enumerate(zip(CLIMATE_VARS, VAR_RANGES)):
-        h = "h1" if k < 4 else "h2"
-        v = f"({base} + {span} * {U_slice(h, k % 4)})"
+        v = f"({base} + {span} * {U_int('ckey', k + 1)})"
         if name == "air_temperature":
             v = f"CASE WHEN (7 * ilat + 3 * ilon + itime) % 41 <> 0 THEN {v} END"
         if name == "wind_speed":
@@ -312,7 +366,7 @@ raster_k AS (
   FROM customer, range({LAT_AXIS.size}) a, range({LON_AXIS.size}) b
 ),
 raster_h AS (
-  SELECT *, md5('clim1:' || {_RKEY}) AS h1, md5('clim2:' || {_RKEY}) AS h2 FROM raster_k
+  SELECT *, (CAST(itime AS BIGINT) * {LAT_AXIS.size} + ilat) * {LON_AXIS.size} + ilon AS ckey FROM raster_k
 ),
 raster AS (
   SELECT itime, ilat, ilon,
