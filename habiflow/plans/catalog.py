@@ -4,3 +4,4 @@ from habiflow.plans import catalog_clean  # noqa: F401
 from habiflow.plans import catalog_raster  # noqa: F401
 from habiflow.plans import catalog_quality  # noqa: F401
 from habiflow.plans import catalog_sampling  # noqa: F401
+from habiflow.plans import catalog_geo  # noqa: F401
