@@ -6,3 +6,4 @@ from habiflow.plans import catalog_quality  # noqa: F401
 from habiflow.plans import catalog_sampling  # noqa: F401
 from habiflow.plans import catalog_geo  # noqa: F401
 from habiflow.plans import catalog_reports  # noqa: F401
+from habiflow.plans import catalog_ml  # noqa: F401
