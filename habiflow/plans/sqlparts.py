@@ -48,7 +48,7 @@ def clean_state(x: str) -> str:
     return f"trim(replace(regexp_replace({x}, '[^\\x00-\\x7F]', '', 'g'), '  ', ' '))"
 
 
-def clean_ctes(src: str = "occ", time_filter: bool = True, name: str = "clean") -> str:
+def clean_ctes(src: str = "occ", time_filter: bool = True, name: str = "clean", dedup: bool = True) -> str:
     """L1 as CTEs; the final CTE is ``name``."""
     tf = ("WHERE CAST(datetime AS DATE) BETWEEN DATE '1979-01-01' AND DATE '2020-12-31'"
           if time_filter else "")
@@ -88,7 +88,7 @@ l1_d AS (
   FROM l1_c
 ),
 l1_e AS (
-  SELECT * FROM l1_d QUALIFY row_number() OVER (PARTITION BY gbifID ORDER BY ord) = 1
+  SELECT * FROM l1_d {"QUALIFY row_number() OVER (PARTITION BY gbifID ORDER BY ord) = 1" if dedup else ""}
 ),
 {name} AS (
   SELECT *, 1 AS occurrence FROM l1_e {tf}
