@@ -148,15 +148,31 @@ def first_clean_line(c: ColLike, min_len: int = 2) -> Column:
 
 # ------------------------------------------------------------------ dates --
 
+# Shape pre-checks for each parse format: every text the format can parse
+# matches its pattern, so a failed match skips the (exception-driven, slow)
+# parser without changing results.
+_D = r"\d{4,}-\d{1,2}-\d{1,2}"
+_FULL_FORMATS = (
+    (rf"^{_D}T\d{{1,2}}:\d{{1,2}}:\d{{1,2}}$", "yyyy-MM-dd'T'HH:mm:ss"),
+    (rf"^{_D}T\d{{1,2}}:\d{{1,2}}$", "yyyy-MM-dd'T'HH:mm"),
+    (rf"^{_D} \d{{1,2}}:\d{{1,2}}:\d{{1,2}}$", "yyyy-MM-dd HH:mm:ss"),
+    (rf"^{_D}$", "yyyy-MM-dd"),
+)
+_VERBATIM_FORMATS = (
+    (r"^\d{4,} [A-Za-z]{3} \d{1,2}$", "yyyy MMM dd"),
+    (rf"^{_D}$", "yyyy-MM-dd"),
+    (r"^\d{4,}/\d{1,2}/\d{1,2}$", "yyyy/MM/dd"),
+)
+
+
+def _guarded_parse(t: Column, formats) -> Column:
+    return F.coalesce(*[F.when(t.rlike(rx), F.try_to_timestamp(t, F.lit(fmt))) for rx, fmt in formats])
+
+
 def full_date_text(c: ColLike) -> Column:
     """Parse 'yyyy-MM-dd[THH:mm[:ss]]' texts; anything shorter is null."""
     t = F.trim(col(c))
-    return F.when(
-        F.length(t) >= 10,
-        F.coalesce(F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss")),
-                   F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm")),
-                   F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss")),
-                   F.try_to_timestamp(t, F.lit("yyyy-MM-dd"))))
+    return F.when(F.length(t) >= 10, _guarded_parse(t, _FULL_FORMATS))
 
 
 def ymd_timestamp(y: ColLike, m: ColLike, d: ColLike) -> Column:
@@ -175,10 +191,7 @@ def day_of_year_date(y: ColLike, doy: ColLike) -> Column:
 
 def verbatim_date(c: ColLike) -> Column:
     """Verbatim date texts: 'yyyy MMM dd', 'yyyy-MM-dd', 'yyyy/MM/dd'."""
-    t = F.trim(col(c))
-    return F.coalesce(F.try_to_timestamp(t, F.lit("yyyy MMM dd")),
-                      F.try_to_timestamp(t, F.lit("yyyy-MM-dd")),
-                      F.try_to_timestamp(t, F.lit("yyyy/MM/dd")))
+    return _guarded_parse(F.trim(col(c)), _VERBATIM_FORMATS)
 
 
 def multi_source_datetime(event_date: ColLike | None = "eventDate",

@@ -51,6 +51,55 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _source_tag(spark: SparkSession, sf_dir: str, tables: tuple[str, ...], version: str) -> str:
+    import hashlib
+    parts = [sf_dir.rstrip("/"), version]
+    for t in tables:
+        p, fs = _fs(spark, os.path.join(sf_dir, f"{t}.parquet"))
+        try:
+            st = fs.getFileStatus(p)
+            parts.append(f"{t}:{st.getLen()}:{st.getModificationTime()}")
+        except Exception:  # noqa: BLE001
+            parts.append(f"{t}:missing")
+    return hashlib.md5("|".join(parts).encode()).hexdigest()[:16]
+
+
+def materialize(spark: SparkSession, name: str, sf_dir: str, tables: tuple[str, ...], build,
+                partition_by: str | None = None, version: str = "v3") -> DataFrame:
+    """Write a derived input table once per input folder under the shared
+    checkpoint folder and read it back.
+
+    Written to a unique temporary folder and renamed into place, so
+    concurrent or interrupted runs never leave a half-written table behind
+    (a rerun simply rebuilds it).  Works on any Hadoop file system.
+    """
+    import uuid
+    from habiflow.session import stage_path
+    path = stage_path(spark, f"{name}_{_source_tag(spark, sf_dir, tables, version)}")
+    p, fs = _fs(spark, path)
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    if not fs.exists(done):
+        tmp = f"{path}.tmp-{uuid.uuid4().hex[:8]}"
+        w = build().write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.parquet(tmp)
+        tp, _ = _fs(spark, tmp)
+        if not fs.exists(done):
+            if fs.exists(p):
+                fs.delete(p, True)
+            fs.rename(tp, p)
+        else:
+            fs.delete(tp, True)
+    return spark.read.parquet(path)
+
+
 def raster_spec(spark: SparkSession, sf_dir: str) -> RasterSpec:
     """Raster description; the time axis length is the customer count.
 
@@ -64,6 +113,16 @@ def raster_spec(spark: SparkSession, sf_dir: str) -> RasterSpec:
 # --------------------------------------------------------------- spark ----
 
 def occ(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Occurrence table derived from ``events`` (written once, read back, so
+    filters reach the Parquet scan as they would on a real dump)."""
+    cols = ["ord", "gbifID", "decimalLatitude", "decimalLongitude", "eventDate", "year", "month", "day",
+            "startDayOfYear", "verbatimEventDate", "dateIdentified", "countryCode", "stateProvince",
+            "county", "municipality", "locality", "verbatimLocality", "continent", "basisOfRecord",
+            "elevation"]
+    return materialize(spark, "occ", sf_dir, ("events",), lambda: occ_generated(spark, sf_dir)).select(*cols)
+
+
+def occ_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     src = ev.withColumn("ord", F.col("event_id")).unionByName(
         ev.filter(F.col("event_id") % 50 == 7)
@@ -145,18 +204,11 @@ def raster(spark: SparkSession, sf_dir: str) -> DataFrame:
     Parquet gives the planner true sizes and lets joins prune partitions by
     the points' time blocks (dynamic partition pruning).
     """
-    import hashlib
-    from habiflow.session import stage_path
-    src = os.path.join(sf_dir, "customer.parquet")
-    st = os.stat(src) if os.path.exists(src) else None
-    tag = hashlib.md5(f"{os.path.abspath(sf_dir)}|{st.st_size if st else 0}|"
-                      f"{st.st_mtime_ns if st else 0}|v2".encode()).hexdigest()[:16]
-    path = stage_path(spark, f"raster_{tag}")
-    if not os.path.exists(os.path.join(path, "_SUCCESS")):
-        (raster_generated(spark, sf_dir).withColumn("tblock", (F.col("itime") / TIME_BLOCK).cast("int"))
-         .repartition("tblock").write.mode("overwrite").partitionBy("tblock").parquet(path))
     cols = ["itime", "ilat", "ilon", "time", "lat", "lon", *CLIMATE_VARS, "tblock"]
-    return spark.read.parquet(path).select(*cols)
+    def build():
+        return (raster_generated(spark, sf_dir).withColumn("tblock", (F.col("itime") / TIME_BLOCK).cast("int"))
+                .repartition("tblock"))
+    return materialize(spark, "raster", sf_dir, ("customer",), build, partition_by="tblock").select(*cols)
 
 
 def raster_generated(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,9 +9,6 @@ job reuses it without recomputing the lineage.
 
 from __future__ import annotations
 
-import hashlib
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +17,6 @@ from habiflow.operators import enrich as EN
 from habiflow.operators import raster as R
 from habiflow.operators import sampling as SM
 from habiflow.plans import fixtures as FX
-from habiflow.session import stage_path
 
 FEATURES = list(FX.CLIMATE_VARS) + ["elevation", "soil_ph", "month", "season_num"]
 ENV_FEATURES = list(FX.CLIMATE_VARS) + ["elevation", "soil_ph"]
@@ -45,11 +41,4 @@ def build_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = os.path.join(sf_dir, "events.parquet")
-    st = os.stat(src) if os.path.exists(src) else None
-    tag = hashlib.md5(f"{os.path.abspath(sf_dir)}|{st.st_size if st else 0}|"
-                      f"{st.st_mtime_ns if st else 0}|train-v1".encode()).hexdigest()[:16]
-    path = stage_path(spark, f"train_{tag}")
-    if not os.path.exists(os.path.join(path, "_SUCCESS")):
-        build_training(spark, sf_dir).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return FX.materialize(spark, "train", sf_dir, ("events", "customer"), lambda: build_training(spark, sf_dir))
