@@ -8,3 +8,4 @@ from habiflow.plans import catalog_geo  # noqa: F401
 from habiflow.plans import catalog_reports  # noqa: F401
 from habiflow.plans import catalog_ml  # noqa: F401
 from habiflow.plans import catalog_stream  # noqa: F401
+from habiflow.plans import catalog_jobs  # noqa: F401

@@ -42,7 +42,7 @@ def _known(c: str) -> str:
     return f"CASE WHEN lower(trim({c})) <> 'unknown' THEN {c} END"
 
 
-def _cands_sql() -> str:
+def _cands_sql(src: str = "geo_in") -> str:
     loc_ok = _usable_sql("locality", H.LOCALITY_SENTINELS, 5)
     verb_ok = _usable_sql("verbatimLocality", H.VERBATIM_SENTINELS, 5)
     verb_lm_ok = _usable_sql("verbatimLocality", H.VERBATIM_LANDMARK_SENTINELS, 5)
@@ -70,7 +70,7 @@ def _cands_sql() -> str:
         f"CASE WHEN {cond} THEN {'lower(trim(' + t + '))' if k == 'gaz' else t} END AS key FROM need"
         for p, k, t, cond, l in items)
     return f"""
-need AS (SELECT * FROM geo_in WHERE decimalLatitude IS NULL OR decimalLongitude IS NULL),
+need AS (SELECT * FROM {src} WHERE decimalLatitude IS NULL OR decimalLongitude IS NULL),
 cands AS (SELECT * FROM ({sel}) WHERE key IS NOT NULL AND length(key) > 0),
 lookup AS (
   SELECT 'gaz' AS kind, lower(trim(place_key)) AS key, lat, lon FROM gazetteer
@@ -87,7 +87,7 @@ geo AS (
            CASE WHEN g.decimalLatitude IS NOT NULL AND g.decimalLongitude IS NOT NULL THEN g.decimalLongitude ELSE b.blon END AS decimalLongitude),
          CASE WHEN g.decimalLatitude IS NOT NULL AND g.decimalLongitude IS NOT NULL THEN false ELSE coalesce(b.bllm, false) END AS used_llm,
          CASE WHEN NOT (g.decimalLatitude IS NOT NULL AND g.decimalLongitude IS NOT NULL) THEN b.bpos END AS geocode_pos
-  FROM geo_in g LEFT JOIN best b ON g.ord = b.rid
+  FROM {src} g LEFT JOIN best b ON g.ord = b.rid
 )"""
 
 

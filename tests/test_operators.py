@@ -154,3 +154,24 @@ def test_stream_equals_batch(spark, sf_small):
     b = R.nearest_cell_join(clean_stateless(FX.occ(spark, sf_small)), FX.raster(spark, sf_small), spec)
     cols = ["ord", "gridmet_lat", "gridmet_lon", "gridmet_date", "air_temperature"]
     assert sorted(s.select(*cols).collect()) == sorted(b.select(*cols).collect())
+
+
+def test_prediction_sinks(spark, sf_small):
+    """A5: threshold-filtered predictions and a JSON summary, written by Spark."""
+    from habiflow.operators import reports as RP
+    s = FX.scored(spark, sf_small)
+    d = tempfile.mkdtemp(prefix="habiflow-sink-")
+    SRC.write_above_threshold(s, os.path.join(d, "top"), 0.8)
+    back = spark.read.option("header", True).csv(os.path.join(d, "top"))
+    assert back.count() == s.filter("probability >= 0.8").count()
+    SRC.write_json_summary(RP.scoring_summary(s, 0.8), os.path.join(d, "summary"))
+    j = spark.read.json(os.path.join(d, "summary")).collect()[0]
+    assert j["total_coordinates"] == s.count() and len(j["top_locations"]) == 5
+
+
+def test_feature_gate(spark):
+    """Scoring refuses frames missing model features."""
+    from habiflow.operators import model as M
+    df = spark.createDataFrame([(1.0,)], "a double")
+    with pytest.raises(ValueError, match="b"):
+        M.require_features(df, ["a", "b"])
