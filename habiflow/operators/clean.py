@@ -244,18 +244,47 @@ def clean_occurrences(df: DataFrame, time_filter: bool = True) -> DataFrame:
     """L1: the cleaning chain in reference order.
 
     B1 B2 B3 -> B4 B5 -> B6 -> B7 B8 -> H4 H6 H7 -> E1 -> label 1 -> B11.
+    Same semantics as chaining the single operators above, expressed as a
+    handful of projections and one filter so the plan is built once.
     """
+    cols = df.columns
     x = drop_all_null(df)
-    x = fill_unknown(x)
-    x = clean_state_names(x)
-    x = coerce_numeric(x)
-    x = filter_bounds_keep_missing(x)
-    x = filter_country(x)
-    x = drop_invalid_coords(x)
-    x = round_coords(x)
-    x = process_dates(x)
+    fill = {"countryCode", "stateProvince", "county"}
+    first = []
+    for c in cols:
+        e = F.col(c)
+        if c in fill:
+            e = F.coalesce(e, F.lit("Unknown"))
+        if c == "stateProvince":
+            e = H.clean_state(e)
+        if c in (LAT, LON):
+            e = e.try_cast("double")
+        first.append(e.alias(c))
+    x = x.select(*first)
+    la, lo = F.col(LAT), F.col(LON)
+    both = la.isNotNull() & lo.isNotNull()
+    inside = (la.between(US_BOUNDS["lat_min"], US_BOUNDS["lat_max"])
+              & lo.between(US_BOUNDS["lon_min"], US_BOUNDS["lon_max"]))
+    bad = (la == 0) | (la > 90) | (la < -90) | (lo == 0) | (lo > 180) | (lo < -180)
+    x = x.filter((~both | inside) & F.upper(F.col("countryCode")).isin(*H.US_COUNTRY_VALUES) & ~(both & bad))
+    c2 = set(cols)
+    dt = H.multi_source_datetime(
+        "eventDate" if "eventDate" in c2 else None,
+        "year" if "year" in c2 else None, "month" if "month" in c2 else None,
+        "day" if "day" in c2 else None,
+        "startDayOfYear" if "startDayOfYear" in c2 else None,
+        "verbatimEventDate" if "verbatimEventDate" in c2 else None,
+        "dateIdentified" if "dateIdentified" in c2 else None)
+    x = x.select(*[F.when(both, F.bround(c, 5)).otherwise(F.col(c)).alias(c) if c in (LAT, LON) else F.col(c)
+                   for c in cols if c not in ("year", "month", "day")], dt.alias("datetime"))
+    x = x.select("*", F.year("datetime").cast("double").alias("year"),
+                 F.month("datetime").cast("double").alias("month"),
+                 F.dayofmonth("datetime").cast("double").alias("day"),
+                 H.season_num(F.month("datetime")).alias("season_num"))
+    x = x.select(*cols, "datetime", "season_num")
     x = dedup_keep_first(x) if "ord" in x.columns else x
-    x = x.withColumn("occurrence", F.lit(1))
+    keep = F.lit(True)
     if time_filter:
-        x = filter_time_bounds(x)
-    return x
+        keep = F.to_date(F.col("datetime")).between(F.lit(GRID_BOUNDS["time_min"]).cast("date"),
+                                                    F.lit(GRID_BOUNDS["time_max"]).cast("date"))
+    return x.filter(keep).select("*", F.lit(1).alias("occurrence"))

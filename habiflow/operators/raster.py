@@ -169,10 +169,8 @@ def nearest_cell_join(points: DataFrame, raster: DataFrame, spec: RasterSpec,
     cond = (lat.between(spec.lat.lo, spec.lat.hi) & lon.between(spec.lon.lo, spec.lon.hi))
     if use_row_time:
         cond = cond & t.between(spec.time_min.cast("timestamp"), spec.time_max.cast("timestamp"))
-    keyed = (points.filter(cond)
-             .withColumn("__ilat", spec.lat.index(lat))
-             .withColumn("__ilon", spec.lon.index(lon))
-             .withColumn("__itime", spec.time_index(t)))
+    keyed = points.filter(cond).select("*", spec.lat.index(lat).alias("__ilat"),
+                                       spec.lon.index(lon).alias("__ilon"), spec.time_index(t).alias("__itime"))
     vars_ = list(spec.variables)
     cells = clean_raster(index_raster(raster, spec), spec).select(
         F.col("itime").alias("__itime"), F.col("ilat").alias("__ilat"), F.col("ilon").alias("__ilon"),
@@ -196,11 +194,10 @@ def nearest_cell_join(points: DataFrame, raster: DataFrame, spec: RasterSpec,
         j = cells.join(F.broadcast(keyed), keys, "inner")
     else:
         j = keyed.hint("merge").join(cells, keys, "inner")
-    return (j.withColumn(f"{prefix}lat", spec.lat.value(F.col("__ilat")))
-             .withColumn(f"{prefix}lon", spec.lon.value(F.col("__ilon")))
-             .withColumn(f"{prefix}date", spec.time_value(F.col("__itime")))
-             .select(*[c for c in keyed.columns if not c.startswith("__")],
-                     f"{prefix}lat", f"{prefix}lon", f"{prefix}date", *vars_))
+    return j.select(*[c for c in keyed.columns if not c.startswith("__")],
+                    spec.lat.value(F.col("__ilat")).alias(f"{prefix}lat"),
+                    spec.lon.value(F.col("__ilon")).alias(f"{prefix}lon"),
+                    spec.time_value(F.col("__itime")).alias(f"{prefix}date"), *vars_)
 
 
 def snap_cells(points: DataFrame, spec: RasterSpec, lat_col: str = "decimalLatitude",

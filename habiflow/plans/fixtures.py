@@ -100,11 +100,17 @@ def materialize(spark: SparkSession, name: str, sf_dir: str, tables: tuple[str,
     return spark.read.parquet(path)
 
 
+_SPEC_SIZES: dict = {}
+
+
 def raster_spec(spark: SparkSession, sf_dir: str) -> RasterSpec:
     """Raster description; the time axis length is the customer count.
 
     The count comes from parquet footers (metadata only, no scan)."""
-    n_time = read(spark, sf_dir, "customer").count()
+    key = (sf_dir.rstrip("/"), _source_tag(spark, sf_dir, ("customer",), "spec"))
+    n_time = _SPEC_SIZES.get(key)
+    if n_time is None:
+        n_time = _SPEC_SIZES[key] = read(spark, sf_dir, "customer").count()
     return RasterSpec(lat=LAT_AXIS, lon=LON_AXIS, time_origin=TIME_ORIGIN,
                       time_step_days=TIME_STEP_DAYS, time_size=n_time,
                       variables=CLIMATE_VARS)
