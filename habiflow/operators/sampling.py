@@ -29,8 +29,11 @@ SEED = 42
 
 # ------------------------------------------------------------ ranking ----
 
+RANK_BUCKETS = 1 << 16   # window partitions hold n / 65536 rows; count table <= 65536 rows per group
+
+
 def bucket_rank(df: DataFrame, order: str, key: str, by: Sequence[str] = (),
-                buckets: int = 64, lo: float = 0.0, hi: float = 1.0) -> DataFrame:
+                buckets: int = RANK_BUCKETS, lo: float = 0.0, hi: float = 1.0) -> DataFrame:
     """Exact 0-based rank of each row within ``by`` groups, ordered by
     (``order``, ``key``); ``order`` must be a number spread over [lo, hi).
 
@@ -61,7 +64,7 @@ def buckets_for(n_hint: int, per_bucket: int = 200_000) -> int:
 
 
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, salt: str = "fold",
-                     buckets: int = 64) -> DataFrame:
+                     buckets: int = RANK_BUCKETS) -> DataFrame:
     """Deal rows of each label round-robin into ``k`` folds after a
     reproducible hash shuffle: fold = rank_within_label mod k."""
     x = df.withColumn("__u", H.uniform(salt, key))
@@ -70,7 +73,7 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, salt: str
 
 
 def train_test_split(df: DataFrame, key: str, test_size: float = 0.2, salt: str = "split",
-                     buckets: int = 64) -> DataFrame:
+                     buckets: int = RANK_BUCKETS) -> DataFrame:
     """Exact-size split: the first ceil(n * test_size) rows in hash
     order are the test set (16 -> 4/12, 15 -> 3/12).  Adds ``is_test``."""
     x = df.withColumn("__u", H.uniform(salt, key)).withColumn("__all", F.lit(0))
@@ -79,7 +82,7 @@ def train_test_split(df: DataFrame, key: str, test_size: float = 0.2, salt: str
     return r.withColumn("is_test", F.col("rank") < n_test).drop("__u", "__all", "rank", "group_n")
 
 
-def hash_shuffle(df: DataFrame, key: str, seed: int = SEED, buckets: int = 64) -> DataFrame:
+def hash_shuffle(df: DataFrame, key: str, seed: int = SEED, buckets: int = RANK_BUCKETS) -> DataFrame:
     """Reproducible shuffle position (0..n-1) from md5(seed:key)."""
     x = df.withColumn("__u", H.uniform(str(seed), key)).withColumn("__all", F.lit(0))
     r = bucket_rank(x, "__u", key, by=["__all"], buckets=buckets)
