@@ -339,7 +339,7 @@ def q_fn_safe_datetime(spark, sf_dir):
 @query("fn_string_clean", with_(OCC) + f"""
 SELECT ord, {S.clean_state('stateProvince')} AS state_clean, upper(countryCode) AS country_upper,
        lower(trim(locality)) AS locality_norm, starts_with(verbatimLocality, 'Canada') AS is_canada,
-       length(trim(municipality)) AS municipality_len
+       CAST(length(trim(municipality)) AS INTEGER) AS municipality_len
 FROM occ""")
 def q_fn_string_clean(spark, sf_dir):
     o = FX.occ(spark, sf_dir)

@@ -247,7 +247,7 @@ def q_raster_coarsen(spark, sf_dir):
 
 ANNUAL_SQL = """
 annual AS (
-  SELECT ilat, ilon, year(time) AS year, avg(air_temperature) AS mean_air_temperature,
+  SELECT ilat, ilon, CAST(year(time) AS INTEGER) AS year, avg(air_temperature) AS mean_air_temperature,
          sum(precipitation_amount) AS total_precipitation,
          avg(surface_downwelling_shortwave_flux_in_air) AS mean_srad,
          avg(mean_vapor_pressure_deficit) AS mean_vpd

@@ -124,7 +124,7 @@ IMP = FX.IMPORTANCE_SQL
 
 
 @query("win_topn_per_model", with_(IMP) + """
-SELECT model, feature, round(importance, 6) AS importance, rank FROM (
+SELECT model, feature, round(importance, 6) AS importance, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY model ORDER BY importance DESC, feature) AS rank FROM importance)
 WHERE rank <= 3""")
 def q_win_topn_per_model(spark, sf_dir):

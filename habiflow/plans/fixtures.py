@@ -429,8 +429,8 @@ raster_h AS (
 raster AS (
   SELECT itime, ilat, ilon,
     DATE '{TIME_ORIGIN}' + CAST(itime * {TIME_STEP_DAYS} AS INTEGER) AS time,
-    {LAT_AXIS.origin} + ({LAT_AXIS.step}) * ilat AS lat,
-    {LON_AXIS.origin} + ({LON_AXIS.step}) * ilon AS lon,
+    CAST({LAT_AXIS.origin} AS DOUBLE) + CAST({LAT_AXIS.step} AS DOUBLE) * ilat AS lat,
+    CAST({LON_AXIS.origin} AS DOUBLE) + CAST({LON_AXIS.step} AS DOUBLE) * ilon AS lon,
     {_raster_vars_sql()}
   FROM raster_h
 )"""

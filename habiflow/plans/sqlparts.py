@@ -139,8 +139,8 @@ def nearest_join_ctes(src: str, name: str = "joined", datetime_col: str | None =
 ),
 {name} AS (
   SELECT p.* EXCLUDE (k_ilat, k_ilon, k_itime),
-         {la.origin} + ({la.step}) * p.k_ilat AS gridmet_lat,
-         {lo.origin} + ({lo.step}) * p.k_ilon AS gridmet_lon,
+         CAST({la.origin} AS DOUBLE) + CAST({la.step} AS DOUBLE) * p.k_ilat AS gridmet_lat,
+         CAST({lo.origin} AS DOUBLE) + CAST({lo.step} AS DOUBLE) * p.k_ilon AS gridmet_lon,
          CAST(DATE '{FX.TIME_ORIGIN}' + CAST(p.k_itime * {FX.TIME_STEP_DAYS} AS INTEGER) AS DATE) AS gridmet_date,
          {vars_}
   FROM {name}_k p JOIN raster r ON r.itime = p.k_itime AND r.ilat = p.k_ilat AND r.ilon = p.k_ilon
