@@ -55,7 +55,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.default.parallelism", str(shuffle_partitions))
          .config("spark.driver.memory", "16g")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         # remove reliable-checkpoint files once their DataFrames are gone
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
