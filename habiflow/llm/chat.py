@@ -89,6 +89,6 @@ whole AS (SELECT prefix, min(conv_id) AS conv_id, count(*) AS n_same, any_value(
           FROM hashed WHERE k = n_turns GROUP BY prefix),
 kept AS (SELECT w.* FROM whole w ANTI JOIN (SELECT DISTINCT prefix FROM hashed WHERE k < n_turns) i ON w.prefix = i.prefix)
 SELECT conv_id, n_turns, n_same,
-       array_to_string(list_transform(prefix, x -> '<|im_start|>' || x || '<|im_end|>' || chr(10)), '') AS chat
+       array_to_string(list_transform(prefix, lambda x: '<|im_start|>' || x || '<|im_end|>' || chr(10)), '') AS chat
 FROM kept
 """

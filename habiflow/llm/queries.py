@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from habiflow.llm import chat, quality
+from habiflow.llm import chat, quality, simhash
 
 
 def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -20,6 +20,7 @@ def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[Spa
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": _on("documents", quality.op2_quality_rules),
     "op3_chat_formatting": _on("conversations", chat.op3_chat_formatting),
+    "op8_simhash_near_dedup": _on("documents", simhash.op8_simhash_near_dedup),
 }
 
 SQL: dict[str, str] = {
