@@ -22,21 +22,22 @@ ignored.
 
 from __future__ import annotations
 
+import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain
+from string import ascii_letters, ascii_lowercase
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from habiflow.llm.common import stored, text_or_empty
+from habiflow.llm.common import text_or_empty
 
-LONG_CHARS = 32_768
-LEAF_CHARS = 16_384
+LONG_CHARS = LEAF_CHARS = 65_536
 AGREE = 2
 # str.split() parts at these too, the vocabularies' patterns may not
 _ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
@@ -45,51 +46,75 @@ _PLAIN_SPACE = re.compile("[ \t\n\r]+")
 
 @lru_cache(maxsize=4)
 def load_tokenizer(path: str) -> Tokenizer:
-    """The tokenizer of a vocabulary file, without truncation and padding."""
+    """The tokenizer of a vocabulary file, without truncation and padding; one thread, as Spark deals out the cores."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     t = Tokenizer.from_file(path)
     t.no_truncation()
     t.no_padding()
     return t
 
 
-class PieceEncoder:
-    """Encodes texts piece by piece; keeps the tokens of the pieces seen, at most ``room`` of them."""
-
-    def __init__(self, path: str, room: int = 300_000, value=list):
-        self.tokenizer, self.room, self.value, self.known = load_tokenizer(path), room, value, {}
-
-    def pieces(self, text: str) -> list[str]:
-        return [p for p in _PLAIN_SPACE.split(text) if p] if _ODD_SPACE.search(text) else text.split()
-
-    def learn(self, texts: list[list[str]]) -> None:
-        new = list(set(chain.from_iterable(texts)).difference(self.known))
-        if len(self.known) + len(new) > self.room:
-            self.known = {}
-            new = list(set(chain.from_iterable(texts)))
-        for at in range(0, len(new), 10_000):
-            part = new[at:at + 10_000]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[p] = self.value(e.ids)
-
-    def batches(self, texts: list[str], chars: int = 2_000_000) -> Iterator[list[list[str]]]:
-        """The pieces of ``texts``, about ``chars`` at a time, each group learned."""
-        group, size = [], 0
-        for t in texts:
-            group.append(self.pieces(t))
-            size += len(t)
-            if size > chars:
-                self.learn(group)
-                yield group
-                group, size = [], 0
-        if group:
-            self.learn(group)
-            yield group
-
-    def encode(self, texts: list[str]) -> Iterator[list]:
-        """For each text, the kept value of each of its pieces."""
-        for group in self.batches(texts):
-            for pieces in group:
-                yield list(map(self.known.__getitem__, pieces))
+class PieceEncoder(dict):
+    """Encodes texts piece by piece and keeps the tokens of pieces seen, as bytes of ``dtype``.
+
+    A new piece takes the library's own steps: normalize, pre-tokenize, model.
+    Where a probe shows that the first two only fold the case of words of ASCII
+    letters and part them from a mark that follows, such words go to the model
+    at once and share their tokens.  Pieces with a special token in them take
+    the library's encode.  The table has two generations of at most ``room``
+    pieces: when the young one is full it becomes the old one, whose pieces
+    move over as they recur.
+    """
+
+    def __init__(self, path: str, dtype: str = "<i4", room: int = 250_000):
+        super().__init__()
+        self.tokenizer, self.dtype, self.room = load_tokenizer(path), np.dtype(dtype), room
+        self.old: dict[str, bytes] = {}
+        t = self.tokenizer
+        self.model, self.normalizer, self.splitter = t.model, t.normalizer, t.pre_tokenizer
+        self.special = [str(x.content) for x in t.get_added_tokens_decoder().values()]
+        parted = lambda text: [s for s, _ in self.splitter.pre_tokenize_str(text)]
+        folds = self.normalizer.normalize_str(ascii_letters) == 2 * ascii_lowercase
+        self.letters = folds and parted(ascii_lowercase) == [ascii_lowercase]
+        self.marks = {m for m in ".,;:!?" if self.letters and self.normalizer.normalize_str(m) == m
+                      and parted(ascii_lowercase + m) == [ascii_lowercase, m]}
+
+    def ids(self, piece: str) -> list[int]:
+        if any(s in piece for s in self.special):
+            return self.tokenizer.encode(piece, add_special_tokens=False).ids
+        parts = self.splitter.pre_tokenize_str(self.normalizer.normalize_str(piece))
+        return [t.id for s, _ in parts for t in self.model.tokenize(s)]
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        value = self.old.get(piece)
+        if value is None:
+            if not self.letters or not piece.isascii():
+                value = self._bytes(self.ids(piece))
+            elif piece.isalpha():
+                small = piece.lower()
+                value = self[small] if small != piece else self._bytes([t.id for t in self.model.tokenize(piece)])
+            elif piece[-1] in self.marks and piece[:-1].isalpha():
+                value = self[piece[:-1]] + self[piece[-1]]
+            else:
+                value = self._bytes(self.ids(piece))
+        if len(self) >= self.room:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = value
+        return value
+
+    def encode(self, text: str) -> np.ndarray:
+        pieces = [p for p in _PLAIN_SPACE.split(text) if p] if _ODD_SPACE.search(text) else text.split()
+        return np.frombuffer(b"".join(map(self.__getitem__, pieces)), self.dtype)
+
+
+@lru_cache(maxsize=4)
+def piece_encoder(path: str, dtype: str = "<i4", room: int = 250_000) -> PieceEncoder:
+    """One table for all tasks of a worker."""
+    return PieceEncoder(path, dtype, room)
 
 
 # --- tree concatenation ------------------------------------------------------
@@ -143,84 +168,98 @@ def join_nodes(tokenizer: Tokenizer, left: tuple, right: tuple, window: int = 64
         window *= 4
 
 
-def _levels(n: int, leaf: int) -> int:
-    levels = 0
-    while n > leaf << levels:
-        levels += 1
-    return levels
+def _levels(length: Column, leaf_chars: int) -> Column:
+    return F.greatest(F.lit(0), F.ceil(F.log2(length / F.lit(leaf_chars)))).cast("int")
+
+
+def _packed(ids: np.ndarray, ends: np.ndarray) -> bytes:
+    """Ids and the distances between ends, compressed."""
+    return zstandard.compress(ids.astype("<i4").tobytes() + np.diff(ends, prepend=0).astype("<i4").tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(zstandard.decompress(data), "<i4").reshape(2, -1)
+    return both[0], np.cumsum(both[1], dtype=np.int64)
 
 
 def encode_long(texts: DataFrame, path: str, leaf_chars: int = LEAF_CHARS) -> DataFrame:
-    """``sha, ids`` of every row of ``texts(sha, text)``, one per sha, by tree concatenation."""
-    parts = texts.withColumn("levels", F.greatest(F.lit(0), F.ceil(F.log2(F.length("text") / F.lit(leaf_chars)))).cast("int"))
+    """``sha, tokens`` (packed), one row for each sha of ``texts(sha, text)``, by tree concatenation."""
+    parts = texts.withColumn("levels", _levels(F.length("text"), leaf_chars))
     parts = parts.withColumn("node", F.explode(F.expr("sequence(0, cast(shiftleft(1, levels) as int) - 1)")))
     size = F.ceil(F.length("text") / F.expr("shiftleft(1, levels)")).cast("int")
     leaves = (parts.select("sha", "levels", "node", F.substring("text", F.col("node") * size + 1, size).alias("text"))
               .dropDuplicates(["sha", "node"]))
 
-    schema = "sha string, levels int, node int, text string, ids binary, ends binary"
+    schema = "sha string, levels int, node int, text string, tokens binary"
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = load_tokenizer(path)
         for b in batches:
-            nodes = [encode_node(tokenizer, t) for t in b["text"]]
-            yield b.assign(ids=[i.tobytes() for i, _ in nodes], ends=[e.tobytes() for _, e in nodes])
-
-    def merge(pair: pd.DataFrame) -> pd.DataFrame:
-        pair = pair.sort_values("node")
-        nodes = [(t, np.frombuffer(i, np.int32), np.frombuffer(e, np.int64)) for t, i, e in zip(pair["text"], pair["ids"], pair["ends"])]
-        if len(nodes) > 1:
-            text, ids, ends = join_nodes(load_tokenizer(path), *nodes)
-        else:
-            text, ids, ends = nodes[0]
-        return pd.DataFrame({"sha": pair["sha"].iloc[:1], "levels": pair["levels"].iloc[:1] - 1, "node": pair["node"].iloc[:1] // 2,
-                             "text": [text], "ids": [ids.tobytes()], "ends": [ends.tobytes()]})
-
-    nodes = stored(leaves.mapInPandas(encode, schema), "leaves")
-    done = []
-    for level in range(nodes.agg(F.max("levels")).first()[0] or 0, 0, -1):
-        # texts of fewer levels wait; a level pairs neighbours, two rows a group
-        done.append(nodes.filter(F.col("levels") < level))
-        nodes = (nodes.filter(F.col("levels") == level).groupBy("sha", F.expr("node div 2").alias("_n"))
-                 .applyInPandas(merge, schema))
-        nodes = stored(nodes.union(done.pop()), f"level{level}")
+            yield b.assign(tokens=[_packed(*encode_node(load_tokenizer(path), t)) for t in b["text"]])
+
+    def merged(level: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def merge(group: pd.DataFrame) -> pd.DataFrame:
+            if group["levels"].iloc[0] < level:
+                return group
+            group = group.sort_values("node")
+            left, right = ((t, *_unpacked(p)) for t, p in zip(group["text"], group["tokens"]))
+            text, ids, ends = join_nodes(load_tokenizer(path), left, right)
+            return pd.DataFrame({"sha": group["sha"].iloc[:1].array, "levels": level - 1, "node": group["node"].iloc[0] // 2,
+                                 "text": [text], "tokens": [_packed(ids, ends)]})
+
+        return merge
+
+    nodes = leaves.mapInPandas(encode, schema)
+    for level in range(texts.agg(F.max(_levels(F.length("text"), leaf_chars))).first()[0] or 0, 0, -1):
+        # nodes of smaller trees wait as groups of one
+        pair = F.expr(f"CASE WHEN levels = {level} THEN node div 2 ELSE node END").alias("_n")
+        nodes = nodes.groupBy("sha", pair).applyInPandas(merged(level), schema)
+    return nodes.select("sha", "tokens")
 
-    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"sha": b["sha"], "ids": [np.frombuffer(i, np.int32) for i in b["ids"]]})
 
-    return nodes.select("sha", "ids").mapInPandas(finish, "sha string, ids array<int>")
+def _rows(ids: list[np.ndarray], tokenizer: Tokenizer | None) -> dict[str, list]:
+    """The columns ``ids`` and, with a tokenizer, ``decoded``."""
+    more = {} if tokenizer is None else {"decoded": [tokenizer.decode(i, skip_special_tokens=False) for i in ids]}
+    return {"ids": ids} | more
 
 
-def encode(docs: DataFrame, path: str, long_chars: int = LONG_CHARS, leaf_chars: int = LEAF_CHARS) -> DataFrame:
-    """``doc_id, ids`` (array of int) of every row of ``docs``."""
+def encode(docs: DataFrame, path: str, decoded: bool = False, long_chars: int = LONG_CHARS,
+           leaf_chars: int = LEAF_CHARS) -> DataFrame:
+    """``doc_id, ids`` (array of int) of every row of ``docs``; ``decoded`` adds the text the ids decode to."""
     d = docs.select("doc_id", text_or_empty().alias("text"))
+    schema = "ids array<int>" + ", decoded string" * decoded
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = PieceEncoder(path)
+        enc = piece_encoder(path)
+        for b in batches:
+            for at in range(0, len(b), 500):
+                part = b.iloc[at:at + 500]
+                ids = [enc.encode(t) for t in part["text"]]
+                yield pd.DataFrame({"doc_id": part["doc_id"].array} | _rows(ids, enc.tokenizer if decoded else None))
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ids = [np.fromiter(chain.from_iterable(v), np.int32) for v in enc.encode(b["text"].tolist())]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "ids": ids})
+            for k in range(len(b)):
+                ids = [_unpacked(b["tokens"].iloc[k])[0]]
+                yield pd.DataFrame({"sha": b["sha"].iloc[k:k + 1].array} | _rows(ids, load_tokenizer(path) if decoded else None))
 
-    short = d.filter(F.length("text") <= long_chars).mapInPandas(run, "doc_id long, ids array<int>")
+    short = d.filter(F.length("text") <= long_chars).mapInPandas(run, "doc_id long, " + schema)
     long_ = d.filter(F.length("text") > long_chars).select("doc_id", "text", F.sha2("text", 256).alias("sha"))
-    ids = encode_long(long_.select("sha", "text"), path, leaf_chars)
-    return short.union(long_.select("doc_id", "sha").join(ids, "sha").select("doc_id", "ids"))
+    whole = encode_long(long_.select("sha", "text"), path, leaf_chars).mapInPandas(finish, "sha string, " + schema)
+    return short.union(long_.select("doc_id", "sha").join(whole, "sha").drop("sha"))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """The columns of ``encoded`` (``doc_id, ids``) and ``text``: the decoded ids, special tokens kept."""
+    """``doc_id, ids`` of ``encoded`` and ``decoded``: the text of the ids, special tokens kept."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = load_tokenizer(path)
         for b in batches:
-            yield b.assign(text=[tokenizer.decode(i, skip_special_tokens=False) for i in b["ids"]])
+            yield pd.DataFrame({"doc_id": b["doc_id"]} | _rows(b["ids"].tolist(), load_tokenizer(path)))
 
-    return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, ids array<int>, text string")
+    return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, ids array<int>, decoded string")
 
 
 def op9_bpe_encoding(docs: DataFrame, path: str) -> DataFrame:
-    d = decode(encode(docs, path), path)
+    d = encode(docs, path, decoded=True)
     return d.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                     F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-                    F.sha2("text", 256).alias("decoded_sha256"))
+                    F.sha2("decoded", 256).alias("decoded_sha256"))
