@@ -32,13 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from habiflow.llm.bpe import PieceEncoder, load_tokenizer
+from habiflow.llm.bpe import load_tokenizer, piece_encoder
 from habiflow.llm.common import stored, text_or_empty
 from habiflow.session import stage_path
 
 LENGTH = 2048
 BATCH = 512
 FILE_BATCHES = 128
+# pieces in a worker's table; about 0.2 kB each, in two generations
+TABLE_ROOM = 600_000
 INDEX = "doc_id long, file string, part int, piece int, first long, n_tokens long"
 
 
@@ -134,14 +136,14 @@ def write_sequences(docs: DataFrame, path: str, end_id: int, folder: str, length
     dtype = np.dtype("<u2" if largest < 1 << 16 else "<u4")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = PieceEncoder(path, value=lambda ids: np.array(ids, dtype).tobytes())
-        end = np.array([end_id], dtype).tobytes()
+        enc = piece_encoder(path, dtype.str, TABLE_ROOM)
+        end = np.array([end_id], dtype)
         part = TaskContext.get().partitionId()
         out = SequenceWriter(folder, f"part-{part:06d}-{uuid.uuid4().hex}", dtype, length, batch, file_batches)
         for b in batches:
             rows = []
-            for pieces in enc.encode(b["text"].tolist()):
-                ids = np.frombuffer(b"".join(pieces) + end, dtype)
+            for t in b["text"]:
+                ids = np.append(enc.encode(t), end)
                 rows.append((*out.add(ids), len(ids)))
             file, piece, first, n = zip(*rows) if rows else ((), (), (), ())
             yield pd.DataFrame({"doc_id": b["doc_id"], "file": file, "part": part, "piece": piece, "first": first, "n_tokens": n})
