@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from habiflow.llm import bpe, chat, quality, secret_scan, sequences, simhash
+from habiflow.llm import bpe, chat, order_minhash, quality, secret_scan, sequences, simhash
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -23,6 +23,7 @@ def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[Spa
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": _on("documents", quality.op2_quality_rules),
     "op3_chat_formatting": _on("conversations", chat.op3_chat_formatting),
+    "op5_document_fingerprints": _on("documents", order_minhash.op5_document_fingerprints),
     "op6_token_output": _on("documents", lambda docs: sequences.op6_token_output(docs, VOCABULARY)),
     "op7_secret_scans": _on("documents", secret_scan.op7_secret_scans),
     "op8_simhash_near_dedup": _on("documents", simhash.op8_simhash_near_dedup),
