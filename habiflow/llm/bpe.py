@@ -216,46 +216,52 @@ def encode_long(texts: DataFrame, path: str, leaf_chars: int = LEAF_CHARS) -> Da
     return nodes.select("sha", "tokens")
 
 
-def _rows(ids: list[np.ndarray], tokenizer: Tokenizer | None) -> dict[str, list]:
+_IDS = pa.list_(pa.int32())
+
+
+def _columns(ids: list, tokenizer: Tokenizer | None) -> dict[str, pa.Array]:
     """The columns ``ids`` and, with a tokenizer, ``decoded``."""
-    more = {} if tokenizer is None else {"decoded": [tokenizer.decode(i, skip_special_tokens=False) for i in ids]}
-    return {"ids": ids} | more
+    out = {"ids": pa.array(ids, _IDS)}
+    if tokenizer is not None:
+        out["decoded"] = pa.array([tokenizer.decode(i, skip_special_tokens=False) for i in ids], pa.string())
+    return out
 
 
 def encode(docs: DataFrame, path: str, decoded: bool = False, long_chars: int = LONG_CHARS,
            leaf_chars: int = LEAF_CHARS) -> DataFrame:
     """``doc_id, ids`` (array of int) of every row of ``docs``; ``decoded`` adds the text the ids decode to."""
-    d = docs.select("doc_id", text_or_empty().alias("text"))
+    d = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     schema = "ids array<int>" + ", decoded string" * decoded
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = piece_encoder(path)
         for b in batches:
-            for at in range(0, len(b), 500):
-                part = b.iloc[at:at + 500]
-                ids = [enc.encode(t) for t in part["text"]]
-                yield pd.DataFrame({"doc_id": part["doc_id"].array} | _rows(ids, enc.tokenizer if decoded else None))
+            for at in range(0, b.num_rows, 500):
+                part = b.slice(at, 500)
+                ids = [enc.encode(t) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id")} | _columns(ids, enc.tokenizer if decoded else None))
 
-    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for k in range(len(b)):
-                ids = [_unpacked(b["tokens"].iloc[k])[0]]
-                yield pd.DataFrame({"sha": b["sha"].iloc[k:k + 1].array} | _rows(ids, load_tokenizer(path) if decoded else None))
+            for sha, tokens in zip(b.column("sha"), b.column("tokens")):
+                ids = [_unpacked(tokens.as_py())[0]]
+                yield pa.RecordBatch.from_pydict({"sha": pa.array([sha.as_py()], pa.string())}
+                                                 | _columns(ids, load_tokenizer(path) if decoded else None))
 
-    short = d.filter(F.length("text") <= long_chars).mapInPandas(run, "doc_id long, " + schema)
+    short = d.filter(F.length("text") <= long_chars).mapInArrow(run, "doc_id long, " + schema)
     long_ = d.filter(F.length("text") > long_chars).select("doc_id", "text", F.sha2("text", 256).alias("sha"))
-    whole = encode_long(long_.select("sha", "text"), path, leaf_chars).mapInPandas(finish, "sha string, " + schema)
+    whole = encode_long(long_.select("sha", "text"), path, leaf_chars).mapInArrow(finish, "sha string, " + schema)
     return short.union(long_.select("doc_id", "sha").join(whole, "sha").drop("sha"))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``doc_id, ids`` of ``encoded`` and ``decoded``: the text of the ids, special tokens kept."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"]} | _rows(b["ids"].tolist(), load_tokenizer(path)))
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id")} | _columns(b.column("ids").to_pylist(), load_tokenizer(path)))
 
-    return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, ids array<int>, decoded string")
+    return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded string")
 
 
 def op9_bpe_encoding(docs: DataFrame, path: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from habiflow.llm import bpe, chat, order_minhash, quality, secret_scan, sequences, simhash
+from habiflow.llm import bpe, chat, mixing, order_minhash, quality, secret_scan, sequences, simhash
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -20,7 +20,12 @@ def _on(table: str, operator: Callable[[DataFrame], DataFrame]) -> Callable[[Spa
     return query
 
 
+def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op1_mixing(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": _op1,
     "op2_quality_rules": _on("documents", quality.op2_quality_rules),
     "op3_chat_formatting": _on("conversations", chat.op3_chat_formatting),
     "op5_document_fingerprints": _on("documents", order_minhash.op5_document_fingerprints),

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -210,22 +210,27 @@ RULES = BASE + ADDED
 def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``doc_id, text, spans`` per row; spans are structs (kind, start, stop), in code points with the
     end exclusive, sorted by start, then by the order of ``rules``."""
-    return _mapped(docs.select("doc_id", "text"), rules, "doc_id long, text string, "
-                   "spans array<struct<kind:string,start:bigint,stop:bigint>>",
-                   lambda b, found: b.assign(spans=[[{"kind": rules[k].kind, "start": s, "stop": e} for s, k, e in f] for f in found]))
+    spans = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())]))
 
+    def output(b: pa.RecordBatch, found: list) -> pa.RecordBatch:
+        rows = [[{"kind": rules[k].kind, "start": s, "stop": e} for s, k, e in f] for f in found]
+        return pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, spans)], names=[*b.schema.names, "spans"])
 
-def _mapped(docs: DataFrame, rules: tuple[Rule, ...], schema: str, output) -> DataFrame:
+    return _mapped(docs.select("doc_id", "text"), rules,
+                   "doc_id long, text string, spans array<struct<kind:string,start:bigint,stop:bigint>>", output)
+
+
+def _mapped(docs: DataFrame, rules: tuple[Rule, ...], schema, output) -> DataFrame:
     """``output(batch, spans per row as sorted (start, rule, stop))`` of every batch."""
     queries = [trigram_query(r.pattern) for r in rules]
     wanted = set().union(*(grams_of(q) for q in queries)) if queries else set()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = np.zeros(1 << 24, np.uint8 if len(wanted) < 256 else np.uint16)
         for n, g in enumerate(sorted(wanted), 1):
             asked[int.from_bytes(g, "big")] = n
         for b in batches:
-            texts = [t if isinstance(t, str) else "" for t in b["text"]]
+            texts = [t or "" for t in b.column("text").to_pylist()]
             shard = Shard([t.encode("utf-8", "surrogatepass").lower() for t in texts], wanted, asked)
             found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
             for k, (rule, query) in enumerate(zip(rules, queries)):
@@ -233,22 +238,24 @@ def _mapped(docs: DataFrame, rules: tuple[Rule, ...], schema: str, output) -> Da
                     found[row] += [(s, k, e) for s, e in rule.spans(texts[row])]
             yield output(b, [sorted(f) for f in found])
 
-    return docs.mapInPandas(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The columns of ``docs`` with every span replaced by ``<kind>``; overlapping spans merge into the first's mark."""
+    """The columns of ``docs`` with every span replaced by ``<kind>``; overlapping spans share the first's mark."""
 
-    def output(b: pd.DataFrame, found: list) -> pd.DataFrame:
-        def clean(text, spans):
-            out, at = [], 0
-            for s, k, e in spans:
-                if s >= at:
-                    out += [text[at:s], f"<{rules[k].kind}>"]
-                at = max(at, e)
-            return "".join(out) + text[at:] if spans else text
+    def clean(text: str | None, spans: list[tuple[int, int, int]]) -> str | None:
+        out, at = [], 0
+        for s, k, e in spans:
+            if s >= at:
+                out += [text[at:s], f"<{rules[k].kind}>"]
+            at = max(at, e)
+        return "".join(out) + text[at:] if spans else text
 
-        return b.assign(text=[clean(t, f) for t, f in zip(b["text"], found)])
+    def output(b: pa.RecordBatch, found: list) -> pa.RecordBatch:
+        i = b.schema.get_field_index("text")
+        texts = [clean(t, f) for t, f in zip(b.column(i).to_pylist(), found)]
+        return b.set_column(i, b.schema.field(i), pa.array(texts, b.schema.field(i).type))
 
     return _mapped(docs, rules, docs.schema, output)
 
@@ -258,12 +265,13 @@ def op7_secret_scans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFr
     names = [r.kind for r in rules]
     say = lambda f: ",".join(f"{names[k]}:{s}:{e}" for s, k, e in f)
 
-    def output(b: pd.DataFrame, found: list) -> pd.DataFrame:
+    def output(b: pa.RecordBatch, found: list) -> pa.RecordBatch:
         base = [[x for x in f if x[1] < n_base] for f in found]
-        return pd.DataFrame({
-            "doc_id": b["doc_id"],
-            **{f"n_{names[k]}": [sum(x[1] == k for x in f) for f in base] for k in range(n_base)},
-            "base_sha256": [hashlib.sha256(say(f).encode()).hexdigest() for f in base],
-            "spans": [say(f) for f in found]})
-
-    return _mapped(docs.select("doc_id", "text"), rules, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string", output)
+        return pa.RecordBatch.from_pydict({
+            "doc_id": b.column("doc_id"),
+            **{f"n_{names[k]}": pa.array([sum(x[1] == k for x in f) for f in base], pa.int64()) for k in range(n_base)},
+            "base_sha256": pa.array([hashlib.sha256(say(f).encode()).hexdigest() for f in base], pa.string()),
+            "spans": pa.array([say(f) for f in found], pa.string())})
+
+    return _mapped(docs.select(F.col("doc_id").cast("long"), "text"), rules,
+                   "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string", output)

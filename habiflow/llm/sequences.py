@@ -25,7 +25,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
@@ -135,23 +134,26 @@ def write_sequences(docs: DataFrame, path: str, end_id: int, folder: str, length
     largest = max(load_tokenizer(path).get_vocab_size(with_added_tokens=True) - 1, end_id)
     dtype = np.dtype("<u2" if largest < 1 << 16 else "<u4")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = piece_encoder(path, dtype.str, TABLE_ROOM)
         end = np.array([end_id], dtype)
         part = TaskContext.get().partitionId()
         out = SequenceWriter(folder, f"part-{part:06d}-{uuid.uuid4().hex}", dtype, length, batch, file_batches)
         for b in batches:
             rows = []
-            for t in b["text"]:
+            for t in b.column("text").to_pylist():
                 ids = np.append(enc.encode(t), end)
                 rows.append((*out.add(ids), len(ids)))
             file, piece, first, n = zip(*rows) if rows else ((), (), (), ())
-            yield pd.DataFrame({"doc_id": b["doc_id"], "file": file, "part": part, "piece": piece, "first": first, "n_tokens": n})
+            yield pa.RecordBatch.from_arrays([
+                b.column("doc_id"), pa.array(file, pa.string()), pa.array([part] * len(rows), pa.int32()),
+                pa.array(piece, pa.int32()), pa.array(first, pa.int64()), pa.array(n, pa.int64())],
+                names=["doc_id", "file", "part", "piece", "first", "n_tokens"])
         out.close()
 
-    d = docs.select("doc_id", text_or_empty().alias("text"))
+    d = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
     d = d.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.sha2("text", 256))
-    return stored(d.mapInPandas(run, INDEX), "sequence_index")
+    return stored(d.mapInArrow(run, INDEX), "sequence_index")
 
 
 def with_starts(index: DataFrame) -> DataFrame:
@@ -163,21 +165,21 @@ def with_starts(index: DataFrame) -> DataFrame:
 
 
 def read_documents(index: DataFrame, folder: str, function, schema: str) -> DataFrame:
-    """``function(index rows of a file, SequenceFile)`` for each file, with rows in the order of the file."""
+    """``function(index rows of a file as a table, SequenceFile)`` for each file, rows in the order of the file."""
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("first")
-        return function(rows, SequenceFile(folder, rows["file"].iloc[0]))
+    def run(rows: pa.Table) -> pa.Table:
+        return function(rows.sort_by("first"), SequenceFile(folder, rows.column("file")[0].as_py()))
 
-    return index.groupBy("file").applyInPandas(run, schema)
+    return index.groupBy("file").applyInArrow(run, schema)
 
 
 def op6_token_output(docs: DataFrame, path: str, end_id: int = 1) -> DataFrame:
     folder = stage_path(docs.sparkSession, f"llm/sequences-{uuid.uuid4().hex}")
     index = write_sequences(docs, path, end_id, folder)
 
-    def digest(rows: pd.DataFrame, file: SequenceFile) -> pd.DataFrame:
-        crc = [zlib.crc32(file.tokens(f, n).astype("<u4").tobytes()) for f, n in zip(rows["first"], rows["n_tokens"])]
-        return rows[["doc_id", "start", "n_tokens"]].assign(ids_crc32=crc)
+    def digest(rows: pa.Table, file: SequenceFile) -> pa.Table:
+        places = zip(rows.column("first").to_pylist(), rows.column("n_tokens").to_pylist())
+        crc = [zlib.crc32(file.tokens(f, n).astype("<u4").tobytes()) for f, n in places]
+        return rows.select(["doc_id", "start", "n_tokens"]).append_column("ids_crc32", pa.array(crc, pa.int64()))
 
     return read_documents(with_starts(index), folder, digest, "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -30,6 +30,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,12 +76,12 @@ def fingerprint(hashes: np.ndarray) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """``doc_id, fp`` (the fingerprint's 64 bits as a signed long)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fp = [fingerprint(shingle_hashes(t if isinstance(t, str) else None, shingle)) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": np.array(fp, np.uint64).view(np.int64)})
+            fp = np.array([fingerprint(shingle_hashes(t, shingle)) for t in b.column("text").to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
 def _forest(u: np.ndarray, v: np.ndarray) -> list[tuple[int, int]]:
