@@ -127,7 +127,7 @@ class LabelModel:
 
 
 # starting point: a bad vote is rare on good documents, a good vote says little
-START = LabelModel(0.9, tuple((0.005, 0.0 if r.good == NEVER else 0.8) for r in RULES),
+START = LabelModel(0.9, tuple((0.002, 0.0 if r.good == NEVER else 0.8) for r in RULES),
                    tuple((0.3, 0.0 if r.good == NEVER else 0.5) for r in RULES))
 
 
@@ -140,8 +140,8 @@ def rates(bad: float, good: float) -> tuple[float, float]:
 
 def fit_label_model(votes: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 25,
                     start: LabelModel = START, strength: float = 20.0,
-                    false_alarms: float = 0.005) -> LabelModel:
-    """EM over the counts of vote patterns of all documents.
+                    false_alarms: float = 0.002) -> LabelModel:
+    """EM over the counts of vote patterns of all rows of ``votes``.
 
     ``strength`` pseudo-documents of either class vote as ``start`` says, which
     keeps rules with few votes near it.  What a rule is trusted with bounds the
@@ -184,7 +184,8 @@ def fit_label_model(votes: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: i
 def quality_rules(docs: DataFrame, *keep: str, rules: tuple[Rule, ...] = RULES, threshold: float = 0.5) -> DataFrame:
     """``keep`` columns, statistics, votes, ``base_failed``, ``quality`` (posterior) and ``kept``."""
     judged = stored(text_statistics(docs, *keep).select("*", *[r.vote() for r in rules]), "quality")
-    model = fit_label_model(judged, rules)
+    # documents that fail the base are out whatever the votes; the model is for telling the others apart
+    model = fit_label_model(judged.filter(~base_failed()), rules)
     return (judged.withColumn("base_failed", base_failed())
             .withColumn("quality", model.posterior(rules))
             .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= threshold)))
