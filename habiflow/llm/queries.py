@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from habiflow.llm import bpe, chat, mixing, order_minhash, quality, secret_scan, sequences, simhash
+from habiflow.llm import bpe, chat, mixing, order_minhash, quality, secret_scan, sequences, simhash, suffix_dedup
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -28,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": _op1,
     "op2_quality_rules": _on("documents", quality.op2_quality_rules),
     "op3_chat_formatting": _on("conversations", chat.op3_chat_formatting),
+    "op4_suffix_dedup": _on("documents", suffix_dedup.op4_suffix_dedup),
     "op5_document_fingerprints": _on("documents", order_minhash.op5_document_fingerprints),
     "op6_token_output": _on("documents", lambda docs: sequences.op6_token_output(docs, VOCABULARY)),
     "op7_secret_scans": _on("documents", secret_scan.op7_secret_scans),
