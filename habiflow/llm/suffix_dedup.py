@@ -41,8 +41,9 @@ from habiflow.llm.common import stored, text_or_empty
 
 SPAN = 100
 GRAM = 40
-BUCKET_BYTES = 2_000_000
-SHARD_BYTES = 500_000
+# small enough for a core's cache, where a round is several times as fast
+BUCKET_BYTES = 200_000
+SHARD_BYTES = 100_000
 HOT_SEGMENTS = 4000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64
@@ -129,27 +130,28 @@ def cut_texts(docs: DataFrame, span: int, gram: int) -> DataFrame:
 # --- shards ------------------------------------------------------------------
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of symbols ``text`` (0 ends a string; each end is a symbol of its own, by place)."""
-    n = len(text)
-    ends = np.flatnonzero(text == 0)
-    rank = text.astype(np.int64) + len(ends)
-    rank[ends] = np.arange(len(ends))
-    order, k = np.argsort(rank, kind="stable"), 1
+def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
+    """Order of the suffixes of symbols ``text`` by their first ``depth`` symbols at least: seven at once, then doubling."""
+    n, k = len(text), 7
+    padded = np.concatenate((text.astype(np.int64), np.zeros(k, np.int64)))
+    key = padded[:n].copy()
+    for i in range(1, k):
+        key = key * 257 + padded[i:i + n]
     while True:
-        second = np.concatenate((rank[k:], np.full(min(k, n), -1)))[:n]
-        # ends are unique from the start, so what follows an end never decides
-        order = np.lexsort((second, rank))
-        new = np.empty(n, np.int64)
-        new[order] = np.cumsum(np.concatenate(([0], (rank[order][1:] != rank[order][:-1]) | (second[order][1:] != second[order][:-1]))))
-        if new[order[-1]] == n - 1 or k >= n:
+        order = np.argsort(key, kind="stable")
+        ahead = key[order]
+        rank = np.empty(n, np.int64)
+        rank[order] = np.cumsum(np.concatenate(([0], ahead[1:] != ahead[:-1])))
+        if k >= depth or rank[order[-1]] == n - 1:
             return order
-        rank, k = new, 2 * k
+        key = rank * (n + 1)
+        key[:-k if k < n else 0] += rank[k:] + 1
+        k *= 2
 
 
 def transform(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     """The symbol before each suffix, in their order; 0 before the start of a string."""
-    return np.where(order > 0, text[order - 1], 0).astype(np.uint16)
+    return text[order - 1]
 
 
 def merge_transforms(parts: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -158,19 +160,26 @@ def merge_transforms(parts: list[np.ndarray], depth: int) -> tuple[np.ndarray, n
     A round reads the parts' symbols in the order so far and deals the
     suffixes stably by them: their order by one more leading symbol.  Suffixes
     are in one block as long as their leading symbols are equal and no string
-    has ended.
+    (symbol 0 ends one) has ended.
     """
-    sizes = [len(p) for p in parts]
-    z = np.repeat(np.arange(len(parts), dtype=np.int32), sizes)
-    block = np.zeros(len(z), np.int64)
-    symbols = np.empty(len(z), np.uint16)
+    z = np.repeat(np.arange(len(parts), dtype=np.uint8 if len(parts) < 256 else np.int32), [len(p) for p in parts])
+    # few symbols occur: as bytes they are dealt faster
+    known = np.unique(np.concatenate([np.zeros(1, np.uint16), *parts]))
+    kind = np.uint8 if len(known) <= 256 else np.uint16
+    parts = [np.searchsorted(known, p).astype(kind) for p in parts]
+    block = np.zeros(len(z), np.int32)
+    symbols = np.empty(len(z), kind)
+    new = np.ones(len(z), bool)
     for _ in range(depth):
         for s, p in enumerate(parts):
             symbols[z == s] = p
         order = np.argsort(symbols, kind="stable")
         c, old = symbols[order], block[order]
-        new = np.concatenate(([True], (c[1:] != c[:-1]) | (old[1:] != old[:-1]))) | (c == 0)
-        z, block = z[order], np.cumsum(new)
+        np.not_equal(c[1:], c[:-1], out=new[1:])
+        new[1:] |= old[1:] != old[:-1]
+        new |= c == 0
+        z = z[order]
+        np.cumsum(new, dtype=np.int32, out=block)
         if block[-1] == len(block):
             break
     return z, block
@@ -189,7 +198,7 @@ def repeated_windows(strings: list[bytes], span: int = SPAN, shard_bytes: int =
     for own in shards:
         text = np.concatenate([np.append(np.frombuffer(strings[k], np.uint8).astype(np.uint16) + 1, np.uint16(0)) for k in own])
         lengths = np.array([len(strings[k]) + 1 for k in own])
-        order = suffix_array(text)
+        order = suffix_array(text, span)
         parts.append(transform(text, order))
         owners.append(np.repeat(np.array(own), lengths)[order])
         offsets.append((np.arange(len(text)) - np.repeat(np.cumsum(lengths) - lengths, lengths))[order])
