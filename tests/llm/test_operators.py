@@ -1,0 +1,279 @@
+"""Every operator against brute force, on the smallest tables and on odd rows."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+from habiflow.llm import bpe, chat, mixing, order_minhash, quality, secret_scan, sequences, simhash, suffix_dedup
+from habiflow.llm.components import components
+from habiflow.llm.queries import VOCABULARY
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def rows(df, *cols):
+    return Counter(tuple(r[c] for c in cols) for r in df.select(*cols).collect())
+
+
+def pairs(df):
+    return [(r["doc_id"], r["text"]) for r in df.collect()]
+
+
+@pytest.fixture(params=["driver", "odd", "empty"])
+def case(request, docs, make_docs, odd_rows):
+    return {"driver": docs, "odd": make_docs(odd_rows), "empty": make_docs([])}[request.param]
+
+
+def test_op2_statistics(case):
+    def brute(i, t):
+        w = WORD.findall(t or "")
+        windows = [tuple(w[k:k + 8]) for k in range(len(w) - 7)]
+        seen, cover = Counter(windows), set()
+        for k, x in enumerate(windows):
+            if seen[x] > 1:
+                cover.update(range(k, k + 8))
+        lines = [x for x in (t or "").split("\n") if WORD.search(x)]
+        failed = len(w) < 20 or 100 * len(cover) > 30 * len(w)
+        return (i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(cover), failed)
+
+    got = quality.op2_quality_rules(case)
+    assert rows(got, "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed") == Counter(
+        brute(i, t) for i, t in pairs(case))
+    assert got.filter("base_failed and kept").count() == 0
+
+
+def test_op2_model_finds_planted_junk(make_docs):
+    rng = np.random.default_rng(3)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 5))
+    good = [(i, " ".join(word() + "." * (k % 9 == 0) for k in range(80))) for i in range(200)]
+    bad = [(i, " ".join(word() + "###" for _ in range(80))) for i in range(200, 215)]
+    kept = {r["doc_id"]: r["kept"] for r in quality.op2_quality_rules(make_docs(good + bad)).collect()}
+    assert all(kept[i] for i, _ in good) and not any(kept[i] for i, _ in bad)
+
+
+def test_op3_keeps_maximal_conversations(spark):
+    turns = [(1, 0, "user", "a"), (1, 1, "bot", "b"), (2, 0, "user", "a"), (3, 0, "user", "a"), (3, 1, "bot", "b"), (3, 2, None, None),
+             (4, 0, "user", "a"), (4, 1, "bot", "c"), (4, 1, "bot", "c"), (5, None, "user", None), (6, 0, "user", "a"), (6, 1, "bot", "c")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {r["conv_id"]: (r["n_turns"], r["n_same"], r["chat"]) for r in chat.op3_chat_formatting(df).collect()}
+    assert set(got) == {3, 4, 5}
+    assert got[4] == (2, 2, "<|im_start|>user\na<|im_end|>\n<|im_start|>bot\nc<|im_end|>\n")
+    assert chat.op3_chat_formatting(df.limit(0)).count() == 0
+
+
+def test_op4(case):
+    span, seen, want, done = 100, set(), Counter(), {}
+    for i, t in sorted(pairs(case), key=lambda x: (x[0] is not None, x[0] or 0)):
+        data = (t or "").encode()
+        if (i, t) in done:
+            want[done[(i, t)]] += 1
+            continue
+        lost = bytearray(len(data))
+        for s in range(len(data) - span + 1):
+            if data[s:s + span] in seen:
+                lost[s:s + span] = b"\1" * span
+            seen.add(data[s:s + span])
+        spans = sum(1 for x in bytes(lost).split(b"\0") if x)
+        kept = bytes(b for b, x in zip(data, lost) if not x)
+        row = (i, len(data), sum(lost), spans, hashlib.sha256(kept).hexdigest())
+        done[(i, t)] = row
+        want[row] += 1
+    got = suffix_dedup.op4_suffix_dedup(case)
+    assert rows(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+
+
+def test_op4_shards_and_hot_anchors(docs):
+    few = docs.filter("doc_id < 60")
+    cols = ("doc_id", "n_bytes", "n_removed", "n_spans")
+    assert rows(suffix_dedup.suffix_dedup(few, hot_segments=1, bucket_bytes=3000), *cols) == rows(suffix_dedup.suffix_dedup(few), *cols)
+
+
+def test_op5(case):
+    all_rows = sorted(pairs(case), key=lambda x: (x[0] is None, -(x[0] or 0)))
+    texts = [t or "" for _, t in all_rows]
+    got = order_minhash.op5_document_fingerprints(case).collect()
+    want = Counter()
+    for k, (i, _) in enumerate(all_rows):
+        t, nxt = texts[k], texts[(k + 1) % len(texts)]
+        h = len(t) // 2
+        want[(i, len(t), hashlib.sha256((t[:len(t) - h] + nxt[:h]).encode()).hexdigest())] += 1
+    assert Counter((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == want
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
+    text_of = dict(pairs(case))
+    same = {}
+    for r in got:
+        assert same.setdefault(text_of[r["doc_id"]], r["fingerprint"]) == r["fingerprint"]
+
+
+def test_op5_sees_order(make_docs):
+    w = [f"w{i}" for i in range(300)]
+    swapped = w[150:] + w[:150]
+    edited = w[:140] + ["x"] + w[141:]
+    df = make_docs([(3, " ".join(w)), (2, " ".join(edited)), (1, " ".join(w)), (0, " ".join(swapped))])
+    near = {r["doc_id"]: r["near_next"] for r in order_minhash.op5_document_fingerprints(df).collect()}
+    assert near[3] > 0.8 and near[1] < near[3]
+
+
+def test_op6(case):
+    tok, start, want = bpe.load_tokenizer(VOCABULARY), 0, Counter()
+    order = sorted(pairs(case), key=lambda x: (x[0] is not None, x[0] or 0, hashlib.sha256((x[1] or "").encode()).hexdigest()))
+    for i, t in order:
+        ids = tok.encode(t or "", add_special_tokens=False).ids + [1]
+        want[(i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))] += 1
+        start += len(ids)
+    assert rows(sequences.op6_token_output(case, VOCABULARY), "doc_id", "start", "n_tokens", "ids_crc32") == want
+
+
+def test_op6_sequences_and_masks(tmp_path):
+    out = sequences.SequenceWriter(str(tmp_path), "part", np.dtype("<u2"), 4, 2, 100)
+    assert [out.add(np.arange(n)) [2] for n in (3, 7, 9)] == [0, 3, 10]
+    out.close()
+    f = sequences.SequenceFile(str(tmp_path), "part-0.arrow")
+    assert f.tokens(3, 7).tolist() == list(range(7)) and f.tokens(10, 9).tolist() == list(range(9))
+    ids, mask = f.sequence(4)
+    assert ids.tolist() == [6, 7, 8, 0] and mask.to_pylist() == [True, True, True, False]
+
+
+def test_op7(case):
+    letters = lambda s: "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in s)
+    keys = "|".join([letters(k) for k in ("password", "passwd", "secret", "token")] + [letters("api") + "_?" + letters("key")])
+    assign = re.compile(rf"""({keys})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+    def brute(i, t):
+        t = t or ""
+        found = [(m.start(), 0, m.end()) for m in assign.finditer(t) if len(m[2]) >= 8]
+        found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+        found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32]
+        said = ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(found))
+        return (i, *(sum(f[1] == k for f in found) for k in range(3)), hashlib.sha256(said.encode()).hexdigest())
+
+    got = secret_scan.op7_secret_scans(case)
+    assert rows(got, "doc_id", "n_assign", "n_access", "n_hex", "base_sha256") == Counter(brute(i, t) for i, t in pairs(case))
+
+
+def test_op7_trigram_queries_miss_no_match():
+    samples = ["API_KEY = 'abcdefgh12'", "passwd:xxxxxxxxx", "AKIAABCDEFGHIJKL", "0" * 32, "-----BEGIN RSA PRIVATE KEY-----",
+               "ghp_" + "a" * 36, "xoxb-1234567890", "eyJabcdefgh.eyJabcdefgh.abcdefgh", "AIza" + "b" * 35, "sk_live_" + "c" * 16, "x://me:pass@"]
+    for rule in secret_scan.RULES:
+        query = secret_scan.trigram_query(rule.pattern)
+        wanted = secret_scan.grams_of(query)
+        asked = np.zeros(1 << 24, np.uint8)
+        for n, g in enumerate(sorted(wanted), 1):
+            asked[int.from_bytes(g, "big")] = n
+        found = set(secret_scan.Shard([s.encode().lower() for s in samples], wanted, asked).candidates(query).tolist())
+        hits = {k for k, s in enumerate(samples) if rule.spans(s)}
+        assert hits and hits <= found
+    assert secret_scan.trigram_query("[0-9a-f]+") is True
+
+
+def test_op8(case):
+    def fp(t):
+        w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        if not w:
+            return 0
+        s = [" ".join(w[i:i + 4]) for i in range(len(w) - 3)] if len(w) >= 4 else [" ".join(w)]
+        h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in s]
+        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+    data = [(i, fp(t)) for i, t in pairs(case)]
+    group = {f: {f} for _, f in data}
+    for a in list(group):
+        for b in list(group):
+            if (a ^ b).bit_count() <= 4 and group[a] is not group[b]:
+                both = group[a] | group[b]
+                group.update({x: both for x in both})
+    want = Counter((i, f"{f:016x}", min((j for j, g in data if g in group[f] and j is not None), default=None)) for i, f in data)
+    assert rows(simhash.op8_simhash_near_dedup(case), "doc_id", "fingerprint", "component_id") == want
+
+
+def test_op8_long_lists_are_cut_into_blocks(spark):
+    rng = np.random.default_rng(1)
+    fps = {int(x) for x in (1 << rng.integers(0, 60, 300)) ^ (1 << rng.integers(0, 60, 300))}
+    df = spark.createDataFrame([(x,) for x in fps], "fp long")
+    links = simhash.near_links(df, block=7)
+    assert components(links).select("root").distinct().count() == 1
+    assert links.count() < 70 * len(fps) * 4
+
+
+def test_op9(case):
+    tok, want = bpe.load_tokenizer(VOCABULARY), Counter()
+    for i, t in pairs(case):
+        ids = tok.encode(t or "", add_special_tokens=False).ids
+        text = tok.decode(ids, skip_special_tokens=False)
+        want[(i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest())] += 1
+    assert rows(bpe.op9_bpe_encoding(case, VOCABULARY), "doc_id", "n_tokens", "ids_sha256", "decoded_sha256") == want
+
+
+def test_op9_tree_with_small_leaves(docs):
+    tok = bpe.load_tokenizer(VOCABULARY)
+    for r in bpe.encode(docs.filter("doc_id < 60"), VOCABULARY, long_chars=900, leaf_chars=300).join(docs, "doc_id").collect():
+        assert r["ids"] == tok.encode(r["text"], add_special_tokens=False).ids
+
+
+def test_op9_joins_are_exact():
+    tok, rng = bpe.load_tokenizer(VOCABULARY), np.random.default_rng(7)
+    parts = ["a", "the", "er", "ing", " ", "\n", "'s", "''", "'ll", "!", "é", "́", "1", "<|endoftext|>", "<|", "|>", "漢字", "\x1c", "😀"]
+    for _ in range(400):
+        some = rng.choice(parts, rng.integers(1, 9))
+        a, b = ("".join(rng.choice(some, rng.integers(0, 200))) for _ in range(2))
+        _, ids, ends = bpe.join_nodes(tok, (a, *bpe.encode_node(tok, a)), (b, *bpe.encode_node(tok, b)), window=4)
+        whole = bpe.encode_node(tok, a + b)
+        assert np.array_equal(ids, whole[0]) and np.array_equal(ends, whole[1])
+
+
+def test_op1_rates_are_the_least_squares(docs, spark, sf_small):
+    labels = spark.read.parquet(f"{sf_small}/labels.parquet")
+    got = mixing.op1_mixing(docs, labels).toPandas()
+    assert len(got) == docs.count() and (got["rate"] >= 0).all()
+    p = got[["p_clean", "p_low", "p_toxic"]]
+    assert np.allclose(p.sum(axis=1), 1, atol=1e-6)
+    # no rates do better: the same descent in numpy, run far longer
+    q, n = p.to_numpy(), got["n_tokens"].to_numpy(float)
+    want = np.array([mixing.TARGETS[c[2:]] for c in p.columns]) * n.sum()
+    h = (q * n[:, None]).T @ q + 1e-6 * n.sum() * np.eye(3)
+    r = np.ones(len(n))
+    for _ in range(5000):
+        r = np.maximum(0, r - q @ np.linalg.solve(h, q.T @ (r * n) - want))
+    off = lambda rate: (x := q.T @ (rate * n) - want) @ np.linalg.solve(h, x) / n.sum()
+    assert off(got["rate"].to_numpy()) <= off(r) + 1e-3
+
+
+def test_op1_rates_meet_targets_that_can_be_met(spark):
+    rng = np.random.default_rng(2)
+    p = rng.dirichlet((0.3, 0.3, 0.3), 400)
+    soft = spark.createDataFrame([(int(n), 1, *map(float, x)) for n, x in zip(rng.integers(1, 5000, 400), p)],
+                                 "n_tokens long, copies int, p0 double, p1 double, p2 double")
+    got = soft.withColumn("rate", mixing.fit_rates(soft, [0.8, 0.15, 0.05])).toPandas()
+    total = got["n_tokens"].sum()
+    assert (got["rate"] >= 0).all() and (got["rate"] == 0).any()
+    for c, t in (("p0", 0.8), ("p1", 0.15), ("p2", 0.05)):
+        assert abs((got["rate"] * got["n_tokens"] * got[c]).sum() / total - t) < 1e-3
+
+
+def test_op1_odd_rows(make_docs, odd_rows, spark):
+    labels = spark.createDataFrame([(9, 1, 0), (9, 0, 0), (None, 1, 0), (12, None, None)], "doc_id long, quality int, toxic int")
+    got = mixing.op1_mixing(make_docs(odd_rows), labels)
+    assert got.count() == len(odd_rows)
+    assert mixing.op1_mixing(make_docs([]), labels).count() == 0
+
+
+def test_pipeline(spark, sf_small, make_docs, odd_rows):
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    kept = [docs.count()]
+    for name, stage in P.STAGES[:4]:
+        docs = P.stored(stage(spark, docs, sf_small), name)
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        kept.append(docs.count())
+    assert kept == sorted(kept, reverse=True) and kept[-1] > 0
+    assert rows(P.bpe_encoding(spark, docs, sf_small), "doc_id") == rows(docs, "doc_id")
+    odd = make_docs(odd_rows)
+    for name, stage in P.STAGES:
+        assert stage(spark, odd, sf_small).count() <= len(odd_rows)
+        assert stage(spark, make_docs([]), sf_small).count() == 0
