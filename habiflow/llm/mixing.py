@@ -5,9 +5,9 @@ text, against the words of all labelled texts), which gives every document a pos
 domains.  Then each document gets a rate of at least zero such that the
 expected tokens of the domains, the sum of rate * tokens * posterior, meet
 ``budget`` * target in the least-squares sense.  Projected gradient descent
-from rate one: a round is one aggregation of a number a domain; the step is
-taken in the metric of the domains' token products, in which its length is 1,
-and rates below zero are set to zero.  The rates of round k follow from the
+from rate one: a round is one aggregation of a few numbers a domain; the step
+is taken in the metric of the token products of the documents with a rate, in
+which its length is 1, and rates below zero are set to zero.  The rates of round k follow from the
 posteriors and k short vectors, so no round keeps a table.  DataFrame
 functions only.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from habiflow.llm.common import stored, text_or_empty, words
 
 LABELLED_ROWS = 20_000
-ROUNDS = 30
+ROUNDS = 15
 # production targets of the domains that the table labels tells apart
 TARGETS = {"clean": 0.92, "low": 0.06, "toxic": 0.02}
 
@@ -150,20 +150,21 @@ def fit_rates(soft: DataFrame, targets: list[float], budget: float | None = None
     """The rate as an expression over ``p0, p1, ..``; ``budget`` in tokens, all tokens by default."""
     n = len(targets)
     mass = F.col("n_tokens") * F.col("copies")
-    sums = soft.agg(F.sum(mass).alias("all"), *[F.sum(mass * F.col(f"p{i}") * F.col(f"p{j}")).alias(f"h{i}_{j}")
-                                               for i in range(n) for j in range(i, n)]).first()
-    total = float(sums["all"] or 0)
+    total = float(soft.agg(F.sum(mass)).first()[0] or 0)
     rate = F.lit(1.0)
     if not total:
         return rate
-    # a little weight on the diagonal: a domain that hardly any document has
-    h = [[(sums[f"h{min(i, j)}_{max(i, j)}"] + (1e-6 * total if i == j else 0)) for j in range(n)] for i in range(n)]
     want = [(budget if budget is not None else total) * t / sum(targets) for t in targets]
     for _ in range(rounds):
-        got = soft.agg(*[F.sum(rate * mass * F.col(f"p{i}")) for i in range(n)]).first()
-        residual = [float(g or 0) - w for g, w in zip(got, want)]
+        # the metric is that of the documents still in: those out don't move against the step
+        part = F.when(rate > 0, mass).otherwise(0)
+        row = soft.agg(*[F.sum(rate * mass * F.col(f"p{i}")).alias(f"g{i}") for i in range(n)],
+                       *[F.sum(part * F.col(f"p{i}") * F.col(f"p{j}")).alias(f"h{i}_{j}") for i in range(n) for j in range(i, n)]).first()
+        residual = [float(row[f"g{i}"] or 0) - w for i, w in enumerate(want)]
         if max(map(abs, residual)) <= tolerance * total:
             break
+        # a little weight on the diagonal: a domain that hardly any document has
+        h = [[float(row[f"h{min(i, j)}_{max(i, j)}"] or 0) + (1e-6 * total if i == j else 0) for j in range(n)] for i in range(n)]
         step = [float(f"{x:.9g}") for x in _solve(h, residual)]
         move = sum((F.col(f"p{i}") * x for i, x in enumerate(step)), F.lit(0.0))
         rate = F.greatest(F.lit(0.0), rate - move)
