@@ -136,7 +136,9 @@ def near_links(entries: DataFrame, max_bits: int = 4, block: int = 2000) -> Data
         raise ValueError("max_bits must be below the number of positional bytes")
     masks = [(c, sum(0xFF << (8 * p) for p in chosen)) for c, chosen in enumerate(combinations(range(BYTES), min_bytes))]
     signed = lambda m: m - (1 << 64) if m >> 63 else m
-    postings = entries.select("fp", F.explode(F.array(*[
+    # a checkpointed table may lie in a few partitions; each row becomes 70 postings
+    parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    postings = entries.select("fp").repartition(parts, "fp").select("fp", F.explode(F.array(*[
         F.struct(F.lit(c).cast("short").alias("c"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key"))
         for c, m in masks])).alias("p")).select("p.c", "p.key", "fp")
     lists = cut_lineage(postings.groupBy("c", "key")
