@@ -47,13 +47,16 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: a document stays with a chance of its rate, drawn from its id; none is repeated.
 
-    The budget leaves a little more than the clean documents' own tokens, so
-    that clean documents have rates of one and more.
+    Least squares may give the purest documents rates far above one and others
+    of the clean domain little; as nothing is repeated here, documents that are
+    likelier clean than not stay whatever their rate, and the rates decide on
+    the other domains' documents.
     """
     labels = mixing.label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rates = mixing.mix(docs, labels, budget_of="clean", spare=1.1)
     draw = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    out = rates.groupBy("doc_id").agg(F.max("rate").alias("rate")).filter(draw >= F.col("rate")).select(F.col("doc_id").alias("_id"))
+    out = rates.groupBy("doc_id").agg(F.max("rate").alias("rate"), F.max("p_clean").alias("clean"))
+    out = out.filter((draw >= F.col("rate")) & (F.col("clean") < 0.5)).select(F.col("doc_id").alias("_id"))
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("doc_id").alias("_key"))
     return d.join(out, F.col("_key").eqNullSafe(F.col("_id")), "left_anti").select("_doc.*")
 
