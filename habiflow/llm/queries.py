@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from habiflow.llm import bpe, chat, mixing, order_minhash, quality, secret_scan, sequences, simhash, suffix_dedup
+from habiflow.llm import bpe, chat, mixing, order_minhash, quality, secret_scan, sequences, simhash, suffix_dedup, warc
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -34,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_secret_scans": _on("documents", secret_scan.op7_secret_scans),
     "op8_simhash_near_dedup": _on("documents", simhash.op8_simhash_near_dedup),
     "op9_bpe_encoding": _on("documents", lambda docs: bpe.op9_bpe_encoding(docs, VOCABULARY)),
+    "op10_warc_revisits": _on("pages", warc.op10_warc_revisits),
 }
 
 SQL: dict[str, str] = {
