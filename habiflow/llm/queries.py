@@ -39,4 +39,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op3_chat_formatting": chat.OP3_SQL,
+    "op10_warc_revisits": warc.OP10_SQL,
 }
