@@ -98,9 +98,17 @@ def ascii_only(c: ColLike) -> Column:
     return F.regexp_replace(col(c), r"[^\x00-\x7F]", "")
 
 
+STRIP = r"^[\x09-\x0D\x1C-\x20]+|[\x09-\x0D\x1C-\x20]+$"
+
+
+def strip(c: ColLike) -> Column:
+    """Without the white space at both ends, line breaks and tabs included."""
+    return F.regexp_replace(col(c), STRIP, "")
+
+
 def clean_state(c: ColLike) -> Column:
     """State clean (B3): non-ASCII removed, one pass of '  '->' ', trimmed."""
-    return F.trim(F.replace(ascii_only(c), F.lit("  "), F.lit(" ")))
+    return strip(F.replace(ascii_only(c), F.lit("  "), F.lit(" ")))
 
 
 def is_sentinel(c: ColLike, sentinels: Iterable[str] = LOCALITY_SENTINELS,
@@ -134,7 +142,7 @@ def first_clean_line(c: ColLike, min_len: int = 2) -> Column:
     start with one of the skip prefixes and is longer than ``min_len``.
     Fallback: the last line longer than ``min_len``; else null.
     """
-    lines = F.transform(F.split(F.trim(col(c)), "\n"), lambda x: F.trim(x))
+    lines = F.transform(F.split(strip(c), "\n"), strip)
     def ok(x: Column) -> Column:
         cond = F.length(x) > min_len
         for p in ANSWER_SKIP_PREFIXES:

@@ -77,8 +77,8 @@ def clean_state_names(df: DataFrame, col: str = "stateProvince") -> DataFrame:
 
 
 def coerce_numeric(df: DataFrame, cols: Sequence[str] = (LAT, LON)) -> DataFrame:
-    """Bad numbers become null (try_cast, ANSI-safe)."""
-    return df.select(*[F.col(c).try_cast("double").alias(c) if c in cols else F.col(c)
+    """Bad numbers and NaN become null (try_cast, ANSI-safe)."""
+    return df.select(*[H.nan_to_null(F.col(c).try_cast("double")).alias(c) if c in cols else F.col(c)
                        for c in df.columns])
 
 

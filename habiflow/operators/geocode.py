@@ -43,11 +43,11 @@ def candidates(df: DataFrame, landmark: str | None = "landmark",
     mun_ok = F.coalesce(~F.lower(mun_t).isin(*H.MUNICIPALITY_SENTINELS) & (F.length(mun_t) > 2), F.lit(False))
     verbatim = F.trim(F.col("verbatimLocality")) if "verbatimLocality" in cols else F.lit(None).cast("string")
     out = [
-        _cand(1, "gaz", H.concat_nonnull("locality", "municipality", "county", "stateProvince", "countryCode")),
+        _cand(1, "gaz", H.concat_known("locality", "municipality", "county", "stateProvince", "countryCode")),
         _cand(2, "gaz", verbatim, verb_ok),
         _cand(3, "gaz", F.trim(F.col("locality")), loc_ok),
-        _cand(4, "gaz", H.concat_nonnull(verbatim, "county", "stateProvince"), verb_ok),
-        _cand(5, "gaz", H.concat_nonnull("locality", "county", "stateProvince"), F.col("locality").isNotNull()),
+        _cand(4, "gaz", H.concat_known(verbatim, "county", "stateProvince"), verb_ok),
+        _cand(5, "gaz", H.concat_known("locality", "county", "stateProvince"), F.col("locality").isNotNull()),
     ]
     if landmark is not None and landmark in cols:
         src_ok = loc_ok | (F.col("locality").isNull() & _usable(
@@ -59,7 +59,7 @@ def candidates(df: DataFrame, landmark: str | None = "landmark",
                 _cand(7, "gaz", lm, src_ok, llm=True)]
     out += [
         _cand(8, "gaz", mun_t, mun_ok),
-        _cand(9, "gaz", H.concat_nonnull(mun_t, "county", "stateProvince", "countryCode"), mun_ok),
+        _cand(9, "gaz", H.concat_known(mun_t, "county", "stateProvince", "countryCode"), mun_ok),
     ]
     if municipality_landmark is not None and municipality_landmark in cols:
         long_mun = mun_ok & (F.length(mun_t) > 20)
@@ -71,7 +71,7 @@ def candidates(df: DataFrame, landmark: str | None = "landmark",
     out += [
         _cand(12, "locality", F.col("locality")),
         _cand(13, "municipality", F.col("municipality")),
-        _cand(14, "gaz", H.concat_nonnull("county", "stateProvince", "countryCode"),
+        _cand(14, "gaz", H.concat_known("county", "stateProvince", "countryCode"),
               F.col("county").isNotNull() & F.col("stateProvince").isNotNull()),
     ]
     return F.array(*out)

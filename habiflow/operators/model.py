@@ -31,12 +31,16 @@ CV_FOLDS = 5
 GAP_LIMIT = 0.05
 CV_STD_LIMIT = 0.1
 MLP_HIDDEN = (64, 32)
-# Columns never used as features (target, identifiers, dates, snapped coords).
-EXCLUDED = ("occurrence", "gbifID", "ord", "datetime", "gridmet_date", "gridmet_lat", "gridmet_lon",
-            "eventDate", "verbatimEventDate", "dateIdentified", "attempt", "is_test", "fold")
+# Columns never used as features.
+EXCLUDED = ("gbifID", "gridmet_lat", "gridmet_lon", "gridmet_date", "decimalLatitude", "decimalLongitude",
+            "datetime", "parsed_datetime", "season", "month", "day")
 # --------------------------------------------------------------------------
 
 
+# This package's own identifiers and split columns, no features either.
+OWN_COLUMNS = ("ord", "attempt", "is_test", "fold")
+
+
 def standardize_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Mean and population std per feature (sklearn StandardScaler)."""
     wide = df.agg(*[F.avg(f).alias(f"m{i}") for i, f in enumerate(features)],
@@ -46,9 +50,9 @@ def standardize_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return wide.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def standardize(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Apply (x - mean) / std_pop with the stats broadcast as one row."""
-    wide = df.agg(*[F.avg(f).alias(f"__m_{f}") for f in features],
+def standardize(df: DataFrame, features: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+    """Apply (x - mean) / std_pop with the stats (of ``fit_on``, ``df`` by default) broadcast as one row."""
+    wide = (df if fit_on is None else fit_on).agg(*[F.avg(f).alias(f"__m_{f}") for f in features],
                   *[F.stddev_pop(f).alias(f"__s_{f}") for f in features])
     x = df.crossJoin(F.broadcast(wide))
     for f in features:
@@ -115,7 +119,7 @@ def overfit_verdict(split: DataFrame, folds: DataFrame, label: str, pred: str) -
 # ------------------------------------------------------------ Spark ML ----
 
 def feature_columns(df: DataFrame, target: str = "occurrence",
-                    excluded: Sequence[str] = EXCLUDED) -> list[str]:
+                    excluded: Sequence[str] = EXCLUDED + OWN_COLUMNS) -> list[str]:
     """Numeric columns minus target and excluded names."""
     num = ("double", "float", "int", "bigint", "smallint")
     return [f.name for f in df.schema.fields

@@ -66,6 +66,7 @@ class RasterSpec:
     time_step_days: int
     time_size: int
     variables: tuple[str, ...] = field(default_factory=tuple)
+    time_block: int = 52        # time steps per ``tblock`` partition
 
     @property
     def time_max(self) -> Column:
@@ -94,14 +95,6 @@ class RasterSpec:
                 f"{self.time_size - 1})")
 
 
-TIME_BLOCK_DEFAULT = 52
-
-
-def raster_time_block(raster: DataFrame) -> int:
-    """Time steps per ``tblock`` partition (fixture layout: 52)."""
-    return TIME_BLOCK_DEFAULT
-
-
 def index_raster(raster: DataFrame, spec: RasterSpec) -> DataFrame:
     """Add ``itime, ilat, ilon`` to a raster that only carries values."""
     out = raster
@@ -143,8 +136,7 @@ def effective_time(df: DataFrame, spec: RasterSpec, datetime_col: str | None = "
 def nearest_cell_join(points: DataFrame, raster: DataFrame, spec: RasterSpec,
                       lat_col: str = "decimalLatitude", lon_col: str = "decimalLongitude",
                       datetime_col: str | None = "datetime", target_date: str | None = None,
-                      prefix: str = "gridmet_", broadcast_points_max_rows: int | None = None
-                      ) -> DataFrame:
+                      prefix: str = "gridmet_") -> DataFrame:
     """Nearest-cell raster join (C1 with C2).
 
     1. effective date per row (see :func:`effective_time`);
@@ -155,13 +147,11 @@ def nearest_cell_join(points: DataFrame, raster: DataFrame, spec: RasterSpec,
        NaN variable are dropped;
     5. output = input columns + ``{prefix}lat/lon/date`` + the variables.
 
-    Plan: a sort-merge join on the three integer cell keys (both sides
-    hash-partitioned by cell; AQE splits hot cells).  The raster side is never
-    broadcast: its size grows with the data and planner estimates of derived
-    cubes can be far too small.  ``broadcast_points_max_rows`` opts into
-    broadcasting the *points* after counting them (a checked bound), which
-    is the right plan for scoring a handful of coordinates against a huge
-    raster.
+    Plan: an equi-join on the three integer cell keys; the planner picks the
+    strategy from measured sizes and AQE splits hot cells.  A raster with a
+    ``tblock`` partition column (``spec.time_block`` steps each) is read only
+    in the blocks that the points hit; finding those is one pass over the
+    points, left out for streams.
     """
     lat, lon = F.col(lat_col), F.col(lon_col)
     t = effective_time(points, spec, datetime_col, target_date)
@@ -181,19 +171,16 @@ def nearest_cell_join(points: DataFrame, raster: DataFrame, spec: RasterSpec,
     cells = cells.filter(full)
     keys = ["__itime", "__ilat", "__ilon"]
     if "tblock" in raster.columns:
-        # raster partitioned by time block: the equality lets dynamic
-        # partition pruning skip every block no point falls into
-        block = raster_time_block(raster)
-        cells = cells.withColumnRenamed("tblock", "__tblock")
-        keyed = keyed.withColumn("__tblock", (F.col("__itime") / block).cast("int"))
-        keys = ["__tblock"] + keys
+        # only the time blocks some point falls into are read: a filter on the
+        # partition column; its values are at most the blocks of the time axis
+        if not points.isStreaming:
+            hit = keyed.select((F.col("__itime") / spec.time_block).cast("int").alias("b")).distinct().collect()
+            cells = cells.filter(F.col("tblock").isin(sorted(r["b"] for r in hit if r["b"] is not None)))
+        cells = cells.drop("tblock")
     # drop input columns that the join would duplicate (re-enrichment)
     clash = [c for c in vars_ + [f"{prefix}lat", f"{prefix}lon", f"{prefix}date"] if c in points.columns]
     keyed = keyed.drop(*clash)
-    if broadcast_points_max_rows is not None and keyed.count() <= broadcast_points_max_rows:
-        j = cells.join(F.broadcast(keyed), keys, "inner")
-    else:
-        j = keyed.hint("merge").join(cells, keys, "inner")
+    j = keyed.join(cells, keys, "inner")
     return j.select(*[c for c in keyed.columns if not c.startswith("__")],
                     spec.lat.value(F.col("__ilat")).alias(f"{prefix}lat"),
                     spec.lon.value(F.col("__ilon")).alias(f"{prefix}lon"),

@@ -54,7 +54,7 @@ def bucket_rank(df: DataFrame, order: str, key: str, by: Sequence[str] = (),
                     .drop("__cnt"))
     w = Window.partitionBy(*by, "__b").orderBy(F.col(order), F.col(key))
     local = x.withColumn("__r", F.row_number().over(w) - 1)
-    out = local.join(F.broadcast(starts), by + ["__b"]) if len(by) <= 1 else local.join(starts, by + ["__b"])
+    out = local.join(starts, by + ["__b"])
     return (out.withColumn("rank", (F.col("__start") + F.col("__r")).cast("bigint"))
                .drop("__b", "__r", "__start"))
 
@@ -115,8 +115,12 @@ def neighbour_keys(df: DataFrame, buffer_km: float, lat: str = LAT, lon: str = L
     d = _band_deg(buffer_km)
     y0 = F.floor(F.col(lat) / d).cast("bigint")
     x = df.withColumn("__by", F.explode(F.array(y0 - 1, y0, y0 + 1)))
-    x0 = F.floor(F.col(lon) / _band_width(F.col("__by"), d)).cast("bigint")
-    return x.withColumn("__bx", F.explode(F.array(x0 - 1, x0, x0 + 1)))
+    width = _band_width(F.col("__by"), d)
+    # across the 180 degree line a point also lies a turn further
+    x = x.withColumn("__turn", F.explode(F.array(*[F.lit(t) for t in (0.0, -360.0, 360.0)])))
+    x = x.filter(F.abs(F.col(lon) + F.col("__turn")) <= 180 + 2 * width)
+    x0 = F.floor((F.col(lon) + F.col("__turn")) / width).cast("bigint")
+    return x.withColumn("__bx", F.explode(F.array(x0 - 1, x0, x0 + 1))).drop("__turn")
 
 
 def exclude_within(candidates: DataFrame, references: DataFrame, buffer_km: float = BUFFER_KM,

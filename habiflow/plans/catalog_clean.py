@@ -361,7 +361,7 @@ def q_fn_concat_nonnull(spark, sf_dir):
 
 def _first_line_sql(x: str) -> str:
     skip = " AND ".join(f"NOT starts_with(l, '{p}')" for p in H.ANSWER_SKIP_PREFIXES)
-    lines = f"list_transform(string_split(trim({x}), chr(10)), lambda s: trim(s))"
+    lines = f"list_transform(string_split({S.strip(x)}, chr(10)), lambda s: {S.strip('s')})"
     return (f"coalesce(list_filter({lines}, lambda l: length(l) > 2 AND {skip})[1], "
             f"list_filter({lines}, lambda l: length(l) > 2)[-1])")
 

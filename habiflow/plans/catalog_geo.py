@@ -51,18 +51,18 @@ def _cands_sql(src: str = "geo_in") -> str:
     src_ok = f"({loc_ok} OR (locality IS NULL AND {verb_lm_ok}))"
     ctx = ", ".join(_known(c) for c in ("county", "stateProvince", "countryCode"))
     items = [
-        (1, "gaz", _nn("locality", "municipality", "county", "stateProvince", "countryCode"), "TRUE", False),
+        (1, "gaz", _nn(*map(_known, ("locality", "municipality", "county", "stateProvince", "countryCode"))), "TRUE", False),
         (2, "gaz", "trim(verbatimLocality)", verb_ok, False),
         (3, "gaz", "trim(locality)", loc_ok, False),
-        (4, "gaz", _nn("trim(verbatimLocality)", "county", "stateProvince"), verb_ok, False),
-        (5, "gaz", _nn("locality", "county", "stateProvince"), "locality IS NOT NULL", False),
+        (4, "gaz", _nn(*map(_known, ("trim(verbatimLocality)", "county", "stateProvince"))), verb_ok, False),
+        (5, "gaz", _nn(*map(_known, ("locality", "county", "stateProvince"))), "locality IS NOT NULL", False),
         (6, "gaz", _nn("landmark", ctx), f"{src_ok} AND landmark IS NOT NULL", True),
         (7, "gaz", "landmark", src_ok, True),
         (8, "gaz", "trim(municipality)", mun_ok, False),
-        (9, "gaz", _nn("trim(municipality)", "county", "stateProvince", "countryCode"), mun_ok, False),
+        (9, "gaz", _nn(*map(_known, ("trim(municipality)", "county", "stateProvince", "countryCode"))), mun_ok, False),
         (12, "locality", "locality", "TRUE", False),
         (13, "municipality", "municipality", "TRUE", False),
-        (14, "gaz", _nn("county", "stateProvince", "countryCode"),
+        (14, "gaz", _nn(*map(_known, ("county", "stateProvince", "countryCode"))),
          "county IS NOT NULL AND stateProvince IS NOT NULL", False),
     ]
     sel = " UNION ALL ".join(

@@ -26,7 +26,7 @@ VARS = FX.CLIMATE_VARS
 
 
 @query("prj_feature_select", with_(FX.SCORED_SQL) + """
-SELECT decimalLatitude, decimalLongitude, probability, prediction, label AS target FROM scored""")
+SELECT probability, prediction, label AS target FROM scored""")
 def q_prj_feature_select(spark, sf_dir):
     """feature/target split: numeric columns minus target and excluded
     identifiers (``ord``), target kept as its own column."""
@@ -122,14 +122,13 @@ def q_job_train(spark, sf_dir):
     sizes, label counts, data fingerprint and top features."""
     t = training_set(spark, sf_dir)
     train, test = t.filter(~F.col("is_test")), t.filter(F.col("is_test"))
-    model = M.random_forest(FEATURES, "occurrence", trees=20, depth=6).fit(train)
+    model = M.random_forest(FEATURES, "occurrence", trees=100, depth=6).fit(train)
     pred = M.score(model, test, ["row_key", "occurrence"])
     acc = RP.accuracy(pred, "occurrence", "prediction")
     sizes = t.agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"),
                   F.count_if(F.col("occurrence") == 1).alias("n_presence"),
                   F.count_if(F.col("occurrence") == 0).alias("n_absence"))
-    verdict = Q.validation_verdict(Q.validation_report(t.withColumn("year", F.lit(2000)).withColumn(
-        "day", F.lit(1)), temporal_required=False))
+    verdict = Q.validation_verdict(Q.validation_report(t, temporal_required=False))
     fp = Q.fingerprint(t.select("row_key", "occurrence"))
     imp = (M.importances(model, FEATURES, spark).orderBy(F.col("importance").desc(), "feature").limit(3)
            .agg(F.collect_list("feature").alias("top_features")))
@@ -143,15 +142,16 @@ def q_job_score(spark, sf_dir):
     date (clamped) -> elevation, soil -> date parts and season -> feature
     gate + zero fill -> forest score -> summary row (D11)."""
     t = training_set(spark, sf_dir)
-    model = M.random_forest(FEATURES, "occurrence", trees=20, depth=6).fit(t.filter(~F.col("is_test")))
+    model = M.random_forest(FEATURES, "occurrence", trees=100, depth=6).fit(t.filter(~F.col("is_test")))
     s = FX.scored(spark, sf_dir)
     arr = s.select("ord", F.array("decimalLatitude", "decimalLongitude").alias("coords"))
-    pts = SRC.points_from_array(arr, "coords", "ord").select(
+    pts = SRC.points_from_array(arr, "coords", "ord", strict=True).select(
         "ord", F.col("lat").alias("decimalLatitude"), F.col("lon").alias("decimalLongitude"))
     spec = FX.raster_spec(spark, sf_dir)
     g = R.nearest_cell_join(pts, FX.raster(spark, sf_dir), spec, target_date="2005-07-01")
     g = EN.fill_elevation(g, FX.elev(spark), spec)
     g = EN.fill_soil_ph(g, FX.soil(spark), spec)
+    g = g.withColumn("year", F.year("gridmet_date").cast("double"))
     g = g.withColumn("month", F.month("gridmet_date").cast("double")).withColumn("season_num", H.season_num("month"))
     M.require_features(g, FEATURES)
     g = C.fill_zero(g, FEATURES)

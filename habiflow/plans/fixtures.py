@@ -113,7 +113,7 @@ def raster_spec(spark: SparkSession, sf_dir: str) -> RasterSpec:
         n_time = _SPEC_SIZES[key] = read(spark, sf_dir, "customer").count()
     return RasterSpec(lat=LAT_AXIS, lon=LON_AXIS, time_origin=TIME_ORIGIN,
                       time_step_days=TIME_STEP_DAYS, time_size=n_time,
-                      variables=CLIMATE_VARS)
+                      variables=CLIMATE_VARS, time_block=TIME_BLOCK)
 
 
 # --------------------------------------------------------------- spark ----
@@ -208,7 +208,7 @@ def raster(spark: SparkSession, sf_dir: str) -> DataFrame:
     Derived once per input folder and written under the shared checkpoint
     folder (``spark.checkpoint.dir``); later calls read it back.  Reading
     Parquet gives the planner true sizes and lets joins prune partitions by
-    the points' time blocks (dynamic partition pruning).
+    the points' time blocks.
     """
     cols = ["itime", "ilat", "ilon", "time", "lat", "lon", *CLIMATE_VARS, "tblock"]
     def build():

@@ -44,8 +44,12 @@ def season(month: str) -> str:
     return f"CASE WHEN {month} BETWEEN 1 AND 12 THEN CAST(floor((CAST({month} AS INTEGER) % 12) / 3) AS INTEGER) END"
 
 
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^[\\x09-\\x0D\\x1C-\\x20]+|[\\x09-\\x0D\\x1C-\\x20]+$', '', 'g')"
+
+
 def clean_state(x: str) -> str:
-    return f"trim(replace(regexp_replace({x}, '[^\\x00-\\x7F]', '', 'g'), '  ', ' '))"
+    return strip(f"replace(regexp_replace({x}, '[^\\x00-\\x7F]', '', 'g'), '  ', ' ')")
 
 
 def clean_ctes(src: str = "occ", time_filter: bool = True, name: str = "clean", dedup: bool = True) -> str:

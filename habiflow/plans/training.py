@@ -18,7 +18,7 @@ from habiflow.operators import raster as R
 from habiflow.operators import sampling as SM
 from habiflow.plans import fixtures as FX
 
-FEATURES = list(FX.CLIMATE_VARS) + ["elevation", "soil_ph", "month", "season_num"]
+FEATURES = list(FX.CLIMATE_VARS) + ["elevation", "soil_ph", "year"]
 ENV_FEATURES = list(FX.CLIMATE_VARS) + ["elevation", "soil_ph"]
 
 
@@ -35,10 +35,12 @@ def build_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = R.nearest_cell_join(u, FX.raster(spark, sf_dir), spec)
     j = EN.fill_elevation(j, FX.elev(spark), spec)
     j = EN.fill_soil_ph(j, FX.soil(spark), spec)
-    j = j.select("row_key", "occurrence", "decimalLatitude", "decimalLongitude", *FEATURES).na.drop(subset=FEATURES)
+    j = j.withColumns({"year": F.year("datetime").cast("double"), "month": F.month("datetime"), "day": F.dayofmonth("datetime")})
+    j = j.select("row_key", "occurrence", "decimalLatitude", "decimalLongitude", "month", "day", *FEATURES).na.drop(subset=FEATURES)
     j = SM.train_test_split(j, "row_key", 0.2)
     return SM.stratified_folds(j, "occurrence", "row_key")
 
 
 def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FX.materialize(spark, "train", sf_dir, ("events", "customer"), lambda: build_training(spark, sf_dir))
+    return FX.materialize(spark, "train", sf_dir, ("events", "customer"), lambda: build_training(spark, sf_dir),
+                          version="v4")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,12 +101,15 @@ def manual_geocode_map(docs: DataFrame, body_col: str = "body") -> DataFrame:
                 .select("place", F.col("coord.lat").alias("lat"), F.col("coord.lon").alias("lon")))
 
 
-def points_from_array(df: DataFrame, arr_col: str, key: str) -> DataFrame:
+def points_from_array(df: DataFrame, arr_col: str, key: str, strict: bool = False) -> DataFrame:
     """Flat [lat1, lon1, lat2, lon2, ...] arrays -> one row per point.
 
-    Odd-length arrays are an error: :func:`odd_length_rows` lists them.
+    With ``strict`` an odd-length array raises an error; otherwise its last
+    value is left out and :func:`odd_length_rows` lists the row.
     """
     n = F.size(F.col(arr_col))
+    if strict:
+        n = F.when(n % 2 == 1, F.raise_error(F.lit("coordinate list of odd length")).cast("int")).otherwise(n)
     pairs = F.transform(F.sequence(F.lit(0), F.floor(n / 2).cast("int") - 1),
                         lambda i: F.struct(i.alias("point_idx"),
                                            F.element_at(F.col(arr_col), 2 * i + 1).alias("lat"),
@@ -149,14 +152,14 @@ def append_resumable(todo: DataFrame, out_path: str, key: Sequence[str], enrich,
     recomputes exactly the missing keys.
     """
     spark = todo.sparkSession
-    try:
-        done = spark.read.format(fmt).load(out_path)
-        pending = resume_pending(todo, done, key)
-    except Exception:  # first run: nothing written yet
-        pending = todo
-    result = enrich(pending)
-    result.write.mode("append").format(fmt).save(out_path)
-    return spark.read.format(fmt).load(out_path).count()
+    path = spark._jvm.org.apache.hadoop.fs.Path(out_path)
+    pending = todo
+    # only a missing output is a first run; any error in reading it is raised
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        pending = resume_pending(todo, spark.read.format(fmt).load(out_path), key)
+    written = Observation()
+    enrich(pending).observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").format(fmt).save(out_path)
+    return int(written.get["n"])
 
 
 def identical(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -91,3 +91,8 @@ def test_axis_ties_lowest_index(spark):
     b = Axis("lon", -124.5, 0.5, 10)
     r = spark.range(1).select(a.index(F.lit(48.75)).alias("i"), b.index(F.lit(-124.25)).alias("j")).collect()[0]
     assert r["i"] == 0 and r["j"] == 0
+
+
+def test_strip_takes_tabs_and_line_breaks(spark):
+    assert one(spark, H.clean_state(F.lit("\tIdaho\n"))) == "Idaho"
+    assert one(spark, H.first_clean_line(F.lit("\t\n\tBear Lake\r\n"))) == "Bear Lake"

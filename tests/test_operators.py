@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from habiflow import sources as SRC
 from habiflow.operators import clean as C
 from habiflow.operators import quality as Q
+from habiflow.operators import raster as R
 from habiflow.operators import sampling as SM
 from habiflow.plans import fixtures as FX
 
@@ -175,3 +176,63 @@ def test_feature_gate(spark):
     df = spark.createDataFrame([(1.0,)], "a double")
     with pytest.raises(ValueError, match="b"):
         M.require_features(df, ["a", "b"])
+
+
+def test_buffer_across_the_date_line(spark):
+    cand = spark.createDataFrame([(1, 10.0, 179.995), (2, 10.0, 179.5), (3, 10.0, -179.995)], "id int, decimalLatitude double, decimalLongitude double")
+    ref = spark.createDataFrame([(10.0, -179.992)], "decimalLatitude double, decimalLongitude double")
+    assert {r["id"] for r in SM.exclude_within(cand, ref, 5.0).collect()} == {2}
+    near = {r["id"]: r["nearest_km"] for r in SM.nearest_distance(cand, ref, "id", 5.0).collect()}
+    assert near[2] is None and near[1] < 2 and near[3] < 1
+
+
+def test_text_nan_is_a_missing_coordinate(spark):
+    from habiflow.operators import clean as CL
+    df = spark.createDataFrame([("NaN", "NaN"), ("45", "-110"), ("x", "1")], "decimalLatitude string, decimalLongitude string")
+    got = [tuple(r) for r in CL.filter_bounds_keep_missing(CL.coerce_numeric(df)).collect()]
+    assert got == [(None, None), (45.0, -110.0), (None, 1.0)]
+
+
+def test_excluded_names_are_no_features(spark):
+    from habiflow.operators import model as MO
+    df = spark.createDataFrame([(1, 2.0, 3.0, 4, 5, 1, 2000.0, 7.0)], "gbifID int, decimalLatitude double, decimalLongitude double, "
+                               "month int, day int, occurrence int, year double, elevation double")
+    assert MO.feature_columns(df) == ["year", "elevation"]
+
+
+def test_test_split_is_scaled_by_the_train_split(spark):
+    from habiflow.operators import model as MO
+    train = spark.createDataFrame([(0.0,), (2.0,)], "f double")
+    test = spark.createDataFrame([(3.0,)], "f double")
+    assert MO.standardize(test, ["f"], fit_on=train).first()["f"] == 2.0
+
+
+def test_append_resumable_appends_what_is_pending(spark, tmp_path):
+    from habiflow import sources as SO
+    out = str(tmp_path / "out")
+    enrich = lambda d: d.withColumn("v", d["id"] * 2)
+    assert SO.append_resumable(spark.range(5), out, ["id"], enrich) == 5
+    assert SO.append_resumable(spark.range(8), out, ["id"], enrich) == 3
+    assert spark.read.parquet(out).count() == 8
+
+
+def test_odd_coordinate_list_is_an_error(spark):
+    import pytest
+    from habiflow import sources as SO
+    df = spark.createDataFrame([(1, [1.0, 2.0, 3.0])], "k int, a array<double>")
+    with pytest.raises(Exception, match="odd length"):
+        SO.points_from_array(df, "a", "k", strict=True).collect()
+
+
+def test_raster_blocks_of_another_size_and_pruning(spark, sf_small):
+    from dataclasses import replace
+    spec = FX.raster_spec(spark, sf_small)
+    cube = FX.raster(spark, sf_small)
+    pts = cube.filter("itime in (3, 60)").select("lat", "lon", cube["time"].cast("timestamp").alias("datetime"))
+    pts = pts.withColumnRenamed("lat", "decimalLatitude").withColumnRenamed("lon", "decimalLongitude")
+    a = R.nearest_cell_join(pts, cube, spec)
+    other = cube.withColumn("tblock", (cube["itime"] / 20).cast("int"))
+    b = R.nearest_cell_join(pts, other, replace(spec, time_block=20))
+    assert a.count() == b.count() > 0
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert any("tblock" in p.split("]")[0] for p in plan.split("PartitionFilters: [")[1:])
