@@ -10,7 +10,8 @@ of hex digits, say) scans every text.
 
 Defined cases: a null text counts as empty and has no spans; repeated rows
 keep their rows; an empty table gives an empty result; other columns are
-ignored; matches of one kind never overlap, leftmost first.
+ignored; matches of one kind never overlap, leftmost first; a private key runs
+to its END line, or without one to the end of its block.
 """
 
 from __future__ import annotations
@@ -195,14 +196,24 @@ BASE = (
     # a maximal run: the shortest that counts can stand in the pattern
     Rule("hex", r"[0-9a-f]+", least=32, search=r"[0-9a-f]{32,}"),
 )
+# A key from its first line to the matching END line, whatever stands between (quote marks, numbers of lines), but
+# not beyond another BEGIN or END line.  Without one, to the end of the key block: header lines, lines of base64 alone,
+# runs of base64 in one line (the last may be short if padded) and an END line of another name.
+_BREAK = r"(?:\s|\\[nrt])"
+_KEY = (r"-----BEGIN ([A-Z ]{0,40})PRIVATE KEY-----(?:"
+        r"(?:[^-]++|-(?!----(?:BEGIN|END) ))*+-----END \1PRIVATE KEY-----"
+        r"|(?:" + _BREAK + r"*+(?:(?:Proc-Type|DEK-Info|Comment|Version): [^\n\\]*+"
+        r"|(?:[A-Za-z0-9+/]{16,}+={0,2}+|[A-Za-z0-9+/]++={1,2}+|(?<=\n)[A-Za-z0-9+/]++(?=[ \t\r]*+(?:\n|\Z))"
+        r"|(?<=\\n)[A-Za-z0-9+/]++(?=\\|[\"'\s]|\Z))))*+"
+        r"(?:" + _BREAK + r"*+-----END [A-Z ]{0,40}-----)?)")
 ADDED = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    Rule("private_key", _KEY),
     Rule("code_host", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_hook", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     Rule("cloud_key", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("live_key", r"[sr]k_live_[A-Za-z0-9]{16,}"),
-    Rule("url_login", r"://[^\s/:@]{1,64}:[^\s/:@]{3,64}@"),
+    Rule("url_login", r"://[^\s/:@]*:[^\s/:@]{3,}@"),
 )
 RULES = BASE + ADDED
 
