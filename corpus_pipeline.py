@@ -23,17 +23,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: of each group the document of the smallest id stays, once."""
-    groups = stored(simhash.near_duplicates(docs), "groups")
-    first = groups.filter(F.col("component_id").isNotNull()).select(F.col("component_id").alias("_id")).distinct()
-    packed = docs.select(F.col("doc_id").cast("long").alias("_key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
-    named = packed.join(first, F.col("_key") == F.col("_id"), "left_semi").dropDuplicates(["_key"]).select("_doc.*")
-    # groups without any id: one row for each different text, as no id tells which to keep
-    loose = simhash.fingerprints(docs.filter("doc_id is null")).join(
-        groups.filter("component_id is null").select("fp").distinct(), "fp", "left_semi")
-    if loose.isEmpty():
-        return named
-    return named.union(docs.filter("doc_id is null").dropDuplicates(["text"]))
+    """Operator 8: of each group one row stays: that of the smallest id, if any has one; ties go by the text's hash.
+
+    Rows are told apart by id and text, so an id that unrelated texts share, or
+    that is null, neither drops nor keeps more than its own groups; of rows
+    that repeat both, the other columns decide.
+    """
+    first = stored(simhash.first_rows(docs), "first_rows")
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    packed = docs.select(*simhash.row_key(), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+                         F.to_json(F.struct(*others or [F.lit(0).alias("_")])).alias("_tie"))
+    once = packed.groupBy(*simhash.KEY).agg(F.min_by("_doc", "_tie").alias("_doc"))
+    return once.join(first, list(simhash.KEY), "left_semi").select("_doc.*")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +46,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: a document stays with a chance of its rate, drawn from its id; none is repeated.
+    """Operator 1: a row stays with a chance of its rate, drawn from its id and text; none is repeated.
 
     Least squares may give the purest documents rates far above one and others
     of the clean domain little; as nothing is repeated here, documents that are
@@ -53,12 +54,12 @@ def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     the other domains' documents.
     """
     labels = mixing.label_domains(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rates = mixing.mix(docs, labels, budget_of="clean", spare=1.1)
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("mixing")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    out = rates.groupBy("doc_id").agg(F.max("rate").alias("rate"), F.max("p_clean").alias("clean"))
-    out = out.filter((draw >= F.col("rate")) & (F.col("clean") < 0.5)).select(F.col("doc_id").alias("_id"))
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("doc_id").alias("_key"))
-    return d.join(out, F.col("_key").eqNullSafe(F.col("_id")), "left_anti").select("_doc.*")
+    rates = mixing.mixed(docs, labels, budget_of="clean", spare=1.1)
+    draw = F.pmod(F.xxhash64("doc_id", "_h", F.lit("mixing")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    out = rates.filter((draw >= F.col("rate")) & (F.col("p_clean") < 0.5)).select(F.col("doc_id").alias("_id"), F.col("_h").alias("_out"))
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("doc_id").alias("_key"),
+                    mixing.text_hash().alias("_h"))
+    return d.join(out, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_out")), "left_anti").select("_doc.*")
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

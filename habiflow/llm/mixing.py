@@ -174,13 +174,17 @@ def calibrated(scored: DataFrame, held: DataFrame, domains: list[str], shares: l
         for i, (p, q) in enumerate(zip(_softmax(_scaled(temper, shift, shares)), plain))])
 
 
+def text_hash() -> Column:
+    """What tells the texts of an id apart; a null text counts as empty."""
+    return F.xxhash64(text_or_empty())
+
+
 def evidence(docs: DataFrame, weights: DataFrame, n: int) -> DataFrame:
     """``doc_id, _h, n_tokens, copies, s0, s1, ..``, the sums of the words' weights, for each different (doc_id, text).
 
     ``_h`` is the text's hash; ``copies`` rows have id and text.
     """
-    d = docs.select("doc_id", text_or_empty().alias("_t"))
-    d = d.select("doc_id", F.xxhash64("_t").alias("_h"), words(F.col("_t")).alias("_a"))
+    d = docs.select("doc_id", text_hash().alias("_h"), words(text_or_empty()).alias("_a"))
     d = d.select("doc_id", "_h", F.size("_a").alias("_n"), F.posexplode_outer(F.array_distinct("_a")).alias("_i", "_w"))
     d = d.select("doc_id", "_h", "_n", "_i", _feature(F.col("_w")).alias("f"))
     d = d.join(F.broadcast(weights), "f", "left")

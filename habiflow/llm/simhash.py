@@ -32,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from habiflow.llm.common import cut_lineage, stored
@@ -73,15 +73,18 @@ def fingerprint(hashes: np.ndarray) -> int:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint's 64 bits as a signed long)."""
+def fingerprints(docs: DataFrame, shingle: int = 4, *keep: str) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint's 64 bits as a signed long) and the columns ``keep``."""
+    d = docs.select(F.col("doc_id").cast("long"), "text", *keep)
+    schema = "doc_id long, fp long" + "".join(f", {c} {d.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.array([fingerprint(shingle_hashes(t, shingle)) for t in b.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64)), *[b.column(c) for c in keep]],
+                                             names=["doc_id", "fp", *keep])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return d.mapInArrow(run, schema)
 
 
 def _forest(u: np.ndarray, v: np.ndarray) -> list[tuple[int, int]]:
@@ -162,17 +165,37 @@ def near_links(entries: DataFrame, max_bits: int = 4, block: int = 2000) -> Data
     return two.union(more.distinct())
 
 
+def rooted(entries: DataFrame, max_bits: int = 4) -> DataFrame:
+    """``entries``, a row for each ``fp``, with the ``root`` of its component."""
+    roots = components(near_links(entries.select("fp"), max_bits))
+    return entries.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs``."""
     d = stored(fingerprints(docs, shingle), "fingerprints")
-    entries = cut_lineage(d.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(near_links(entries.select("fp"), max_bits))
-    linked = entries.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    linked = rooted(cut_lineage(d.groupBy("fp").agg(F.min("doc_id").alias("first"))), max_bits)
     names = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     named = linked.join(names, "root").select("fp", "component_id")
     return d.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def row_key() -> list[Column]:
+    """``_none, _id, _h1, _h2``, which tell rows of different ids or texts apart; none is null."""
+    i = F.col("doc_id").cast("long")
+    return [i.isNull().alias("_none"), F.coalesce(i, F.lit(0)).alias("_id"),
+            F.xxhash64("text", F.lit("a")).alias("_h1"), F.xxhash64(F.lit("b"), "text").alias("_h2")]
+
+
+KEY = ("_none", "_id", "_h1", "_h2")
+
+
+def first_rows(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """The ``row_key`` of the row that stays of each component: that of the smallest id, if it has any, then of the smallest hash."""
+    d = stored(fingerprints(docs.select("doc_id", "text", *row_key()), shingle, *KEY), "fingerprints")
+    linked = rooted(cut_lineage(d.groupBy("fp").agg(F.min(F.struct(*KEY)).alias("row"))), max_bits)
+    return linked.groupBy("root").agg(F.min("row").alias("row")).select("row.*")
+
+
 def op8_simhash_near_dedup(docs: DataFrame) -> DataFrame:
     return near_duplicates(docs).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
