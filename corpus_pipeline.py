@@ -75,7 +75,7 @@ STAGES = [
     ("bpe_encoding", bpe_encoding),
 ]
 
-ORACLE_SQL = None  # an EM fit, components and a vocabulary file: tests hold the stages against brute force
+ORACLE_SQL = None  # an EM fit, components and a vocabulary file; the README says what tests hold against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
