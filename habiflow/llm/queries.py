@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from habiflow.llm import bpe, chat, filter_audit, mixing, order_minhash, quality, secret_scan, sequences, simhash, suffix_dedup, warc
+from habiflow.llm import bpe, chat, filter_audit, lattice, lexical, mixing, order_minhash, quality, secret_scan, sequences, simhash, suffix_dedup, warc
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -24,6 +24,10 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op1_mixing(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.op12_ranked_search(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.op13_filter_audit(spark, f"{sf_dir}/documents.parquet", f"{sf_dir}/labels.parquet")
 
@@ -39,11 +43,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash_near_dedup": _on("documents", simhash.op8_simhash_near_dedup),
     "op9_bpe_encoding": _on("documents", lambda docs: bpe.op9_bpe_encoding(docs, VOCABULARY)),
     "op10_warc_revisits": _on("pages", warc.op10_warc_revisits),
+    "op11_embedding_near_dedup": _on("embeddings", lattice.op11_embedding_near_dedup),
+    "op12_ranked_search": _op12,
     "op13_filter_audit": _op13,
 }
 
 SQL: dict[str, str] = {
     "op3_chat_formatting": chat.OP3_SQL,
     "op10_warc_revisits": warc.OP10_SQL,
+    "op12_ranked_search": lexical.OP12_SQL,
     "op13_filter_audit": filter_audit.OP13_SQL,
 }
