@@ -1,10 +1,10 @@
 """Geocoding as joins.
 
 Instead of one remote lookup per row, every row that lacks coordinates
-emits its ordered list of candidate place strings; the distinct normalised
-strings are equi-joined to a gazetteer table once, and each row keeps the
-match with the lowest candidate position (``min_by``), i.e. "first
-strategy that resolves wins".
+emits its ordered list of candidate place strings; each distinct set of place
+columns is looked up in a gazetteer table once and keeps the match with the
+lowest candidate position (``min_by``), i.e. "first strategy that resolves
+wins".
 """
 
 from __future__ import annotations
@@ -13,8 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from habiflow import functions as H
+from habiflow.operators.dictionary import dictionary_join
+from habiflow.session import cut_lineage
 
 LAT, LON = "decimalLatitude", "decimalLongitude"
+# all that the candidates of a row depend on
+PLACE_COLUMNS = ("locality", "verbatimLocality", "municipality", "county", "stateProvince", "countryCode", "landmark",
+                 "municipality_landmark")
 
 
 def _usable(c: str, sentinels, min_len: int) -> Column:
@@ -87,49 +92,59 @@ def lookup_table(gazetteer: DataFrame, manual: DataFrame | None = None) -> DataF
     return g.unionByName(m)
 
 
-def geocode_cascade(df: DataFrame, gazetteer: DataFrame, manual: DataFrame | None = None,
-                    key: str = "gbifID", order: str = "ord") -> DataFrame:
+def geocode_cascade(df: DataFrame, gazetteer: DataFrame, manual: DataFrame | None = None) -> DataFrame:
     """Fill missing coordinates from the first resolving candidate.
 
     Output: input columns with lat/lon filled where resolved, plus
     ``geocode_pos`` (winning candidate position) and ``used_llm``.  Rows that
     already have both coordinates pass unchanged (flag false).
 
-    Plan: explode candidates of coordinate-less rows (<= 14 per row) ->
-    equi-join on (kind, key) -> ``min_by`` per row -> left join back on the
-    row id.  Distinct keys are small compared to rows (shared localities);
-    AQE chooses the join strategy from measured sizes.
+    Rows that lack coordinates are reduced to their different sets of place
+    columns; the candidates of each set are looked up in the dictionary of
+    (kind, key), ``min_by`` takes the first hit, and the sets' answers go back
+    to the rows.  Both lookups are :func:`dictionary_join`, so neither a
+    sentinel that most rows carry nor a place that most rows share is a task
+    of its own.
     """
-    rid = order if order in df.columns else key
-    need = df.filter(F.col(LAT).isNull() | F.col(LON).isNull())
-    cands = (need.select(F.col(rid).alias("__rid"), F.explode(candidates(df)).alias("c"))
-             .select("__rid", "c.pos", "c.kind", "c.llm",
-                     F.when(F.col("c.kind") == "gaz", F.lower(F.trim("c.text")))
-                      .otherwise(F.col("c.text")).alias("key"))
-             .filter(F.col("key").isNotNull() & (F.length("key") > 0)))
-    hits = cands.join(lookup_table(gazetteer, manual), ["kind", "key"], "inner")
-    best = hits.groupBy("__rid").agg(F.min_by(F.struct("lat", "lon", "pos", "llm"), F.col("pos")).alias("b"))
-    out = df.join(best, df[rid] == best["__rid"], "left")
     has = F.col(LAT).isNotNull() & F.col(LON).isNotNull()
+    columns = [c for c in PLACE_COLUMNS if c in df.columns]
+    place = F.sha2(F.to_json(F.struct(*columns)), 256)  # to_json leaves nulls out, so null and '' differ
+    x = df.withColumn("__place", F.when(~has, place))
+    places = (x.filter(F.col("__place").isNotNull()).groupBy("__place")
+              .agg(*[F.first(c).alias(c) for c in columns]))
+    cands = (places.select("__place", F.explode(candidates(places)).alias("c"))
+             .select("__place", "c.pos", "c.kind", "c.llm",
+                     F.when(F.col("c.kind") == "gaz", F.lower(F.trim("c.text"))).otherwise(F.col("c.text")).alias("key"))
+             .filter(F.col("key").isNotNull() & (F.length("key") > 0))
+             .select("__place", "pos", "llm", F.concat_ws(":", "kind", "key").alias("__key")))
+    table = (lookup_table(gazetteer, manual).groupBy(F.concat_ws(":", "kind", "key").alias("__key"))
+             .agg(F.min(F.struct("lat", "lon")).alias("at")))
+    hits = dictionary_join(cut_lineage(cands), table, "__key").filter(F.col("at").isNotNull())
+    best = hits.groupBy("__place").agg(F.min_by(F.struct("at", "pos", "llm"), F.col("pos")).alias("b"))
+    out = dictionary_join(x, cut_lineage(best), "__place")
     return (out.withColumn("used_llm", F.when(has, F.lit(False)).otherwise(F.coalesce(F.col("b.llm"), F.lit(False))))
                .withColumn("geocode_pos", F.when(~has, F.col("b.pos")))
-               .withColumn(LAT, F.when(has, F.col(LAT)).otherwise(F.col("b.lat")))
-               .withColumn(LON, F.when(has, F.col(LON)).otherwise(F.col("b.lon")))
-               .drop("b", "__rid"))
+               .withColumns({LAT: F.when(has, F.col(LAT)).otherwise(F.col("b.at.lat")),
+                             LON: F.when(has, F.col(LON)).otherwise(F.col("b.at.lon"))})
+               .drop("b", "__place"))
 
 
 def apply_manual(df: DataFrame, manual: DataFrame) -> DataFrame:
-    """Rows without coordinates: exact locality map, then municipality map."""
-    loc = manual.filter(F.col("kind") == "locality").select(
-        F.col("place").alias("__lk"), F.col("lat").alias("__llat"), F.col("lon").alias("__llon"))
-    mun = manual.filter(F.col("kind") == "municipality").select(
-        F.col("place").alias("__mk"), F.col("lat").alias("__mlat"), F.col("lon").alias("__mlon"))
-    x = (df.join(loc, df["locality"] == loc["__lk"], "left")
-           .join(mun, F.col("municipality") == mun["__mk"], "left"))
+    """Rows without coordinates: exact locality map, then municipality map.
+
+    Only those rows take part in the lookups; a place that many of them name
+    is looked up apart (:func:`dictionary_join`).
+    """
     missing = F.col(LAT).isNull() | F.col(LON).isNull()
-    return (x.withColumn(LAT, F.when(missing, F.coalesce("__llat", "__mlat")).otherwise(F.col(LAT)))
-             .withColumn(LON, F.when(missing, F.coalesce("__llon", "__mlon")).otherwise(F.col(LON)))
-             .drop("__lk", "__llat", "__llon", "__mk", "__mlat", "__mlon"))
+    x = df
+    for kind in ("locality", "municipality"):
+        table = (manual.filter(F.col("kind") == kind).groupBy(F.col("place").alias(f"__{kind}"))
+                 .agg(F.min(F.struct("lat", "lon")).alias(f"__at_{kind}")))
+        x = dictionary_join(x.withColumn(f"__{kind}", F.when(missing, F.col(kind))), table, f"__{kind}")
+    found = lambda c: F.coalesce(F.col(f"__at_locality.{c}"), F.col(f"__at_municipality.{c}"))
+    return (x.withColumns({LAT: F.when(missing, found("lat")).otherwise(F.col(LAT)),
+                           LON: F.when(missing, found("lon")).otherwise(F.col(LON))})
+             .drop(*[f"__{p}{kind}" for kind in ("locality", "municipality") for p in ("", "at_")]))
 
 
 def geocode_summary(df: DataFrame) -> DataFrame:

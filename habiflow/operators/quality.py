@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from habiflow import functions as H
+from habiflow.session import cut_lineage
 
 LAT, LON = "decimalLatitude", "decimalLongitude"
 
@@ -94,61 +94,81 @@ def all_null_columns(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     return null_profile(df, cols).filter(F.col("non_nulls") == 0).select("column")
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
-    """Exact linear-interpolated quantiles (pandas ``describe`` semantics),
-    computed without collecting the column into one task.
+def value_frequencies(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``field`` (place in ``cols``), ``v``, ``n``: how often each number occurs, in one scan; nulls and NaN dropped.
 
-    The values are range-partitioned and sorted; per-partition counts (one
-    row per partition) give each partition's starting rank, so every value
-    gets its global rank; only the two ranks around each quantile are kept.
-    Output: one row with columns ``q_<pct>``.
+    Counts are combined before the shuffle, so a value that most rows hold is
+    one row a task.
     """
-    v = df.select(F.col(col).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v"))
-    ranged = (v.repartitionByRange("v").sortWithinPartitions("v")
-               .withColumn("pid", F.spark_partition_id()))
-    ranged = ranged.withColumn(
-        "r", F.monotonically_increasing_id() - F.shiftleft(F.col("pid").cast("bigint"), 33))
-    per = ranged.groupBy("pid").agg(F.count(F.lit(1)).alias("cnt"))
-    # prefix sums over partitions: the frame has one row per partition
-    w = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    starts = per.withColumn("start", F.coalesce(F.sum("cnt").over(w), F.lit(0)))
-    n = per.agg(F.sum("cnt").alias("n"))
-    ranked = (ranged.join(F.broadcast(starts.select("pid", "start")), "pid")
-              .withColumn("rank", F.col("start") + F.col("r")).crossJoin(F.broadcast(n)))
-    want = F.lit(False)
-    for p in probs:
-        h = (F.col("n") - 1) * F.lit(p)
-        want = want | (F.col("rank") == F.floor(h)) | (F.col("rank") == F.floor(h) + 1)
-    picked = ranked.filter(want)
-    aggs = []
-    for p in probs:
-        h = (F.col("n") - 1) * F.lit(p)
-        lo = F.max(F.when(F.col("rank") == F.floor(h), F.col("v")))
-        hi = F.max(F.when(F.col("rank") == F.floor(h) + 1, F.col("v")))
-        frac = F.first((F.col("n") - 1) * F.lit(p) - F.floor((F.col("n") - 1) * F.lit(p)))
-        aggs.append(F.when(hi.isNull(), lo).otherwise(lo + (hi - lo) * frac)
-                    .alias(f"q_{int(round(p * 100))}"))
-    return picked.agg(*aggs)
+    pairs = F.array(*[F.struct(F.lit(i).alias("field"), F.col(c).cast("double").alias("v")) for i, c in enumerate(cols)])
+    return (df.select(F.inline(pairs)).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+            .groupBy("field", (F.col("v") + F.lit(0.0)).alias("v")).agg(F.count(F.lit(1)).alias("n")))
 
 
-def describe(df: DataFrame, col: str) -> DataFrame:
-    """Count, mean, sample std, min, 25/50/75 % (linear), max."""
-    base = df.agg(F.count(col).alias("count"), F.avg(col).alias("mean"),
-                  F.stddev_samp(col).alias("std"), F.min(col).cast("double").alias("min"),
-                  F.max(col).cast("double").alias("max"))
-    q = exact_quantiles(df, col, (0.25, 0.5, 0.75))
-    return base.crossJoin(q).select("count", "mean", "std", "min", F.col("q_25").alias("p25"),
-                                    F.col("q_50").alias("p50"), F.col("q_75").alias("p75"), "max")
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Exact linear-interpolated quantiles (pandas ``describe`` semantics) of several columns together.
+
+    The different values of all columns, with their counts, are cut into ranges
+    by (column, value) once.  Counts a range give each range's first rank; only
+    the ranges that hold a wanted rank are then ranked value by value.  Output:
+    ``field`` and ``q_<pct>``; a column without numbers has no row.
+    """
+    freq = cut_lineage(value_frequencies(df, cols))
+    # stored with its range's number, so that every later use sees the same cuts
+    ranged = cut_lineage(freq.repartitionByRange("field", "v").withColumn("pid", F.spark_partition_id()))
+    earlier = Window.partitionBy("field").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    spans = (ranged.groupBy("field", "pid").agg(F.sum("n").alias("cnt"))
+             .withColumn("start", F.coalesce(F.sum("cnt").over(earlier), F.lit(0)))
+             .withColumn("total", F.sum("cnt").over(Window.partitionBy("field"))))
+    wants = []
+    for i, p in enumerate(probs):
+        h = (F.col("total") - 1) * F.lit(float(p))
+        for side in (0, 1):
+            wants.append(F.struct(F.lit(i).alias("q"), F.lit(side).alias("side"), (h - F.floor(h)).alias("frac"),
+                                  F.least(F.floor(h) + side, F.col("total") - 1).alias("rank")))
+    targets = (spans.select("field", "pid", "start", "cnt", F.explode(F.array(*wants)).alias("w"))
+               .select("field", "pid", "start", "cnt", "w.*").filter("rank >= start AND rank < start + cnt"))
+    running = Window.partitionBy("field", "pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    needed = targets.select("field", "pid", "start").distinct()
+    ranked = (ranged.join(needed, ["field", "pid"])
+              .withColumn("upto", F.col("start") + F.sum("n").over(running)))
+    picked = (ranked.join(targets.select("field", "pid", "q", "side", "frac", "rank"), ["field", "pid"])
+              .filter("rank < upto AND rank >= upto - n"))
+    lo, hi = F.max(F.when(F.col("side") == 0, F.col("v"))), F.max(F.when(F.col("side") == 1, F.col("v")))
+    one = (picked.groupBy("field", "q").agg(lo.alias("lo"), hi.alias("hi"), F.max("frac").alias("frac"))
+           .withColumn("value", F.when(F.col("lo") == F.col("hi"), F.col("lo"))
+                       .otherwise(F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac"))))
+    return one.groupBy("field").agg(*[F.max(F.when(F.col("q") == i, F.col("value"))).alias(f"q_{int(round(p * 100))}")
+                                      for i, p in enumerate(probs)])
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+    """``quantiles`` of one column: one row with columns ``q_<pct>``, null without numbers."""
+    q = quantiles(df, [col], probs).drop("field")
+    return q.agg(*[F.max(c).alias(c) for c in q.columns])
 
 
 def numeric_describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """D5 numeric part: describe() of several columns as rows (column, stats...)."""
-    parts = [describe(df, c).withColumn("column", F.lit(c)) for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Count, mean, sample std, min, 25/50/75 % (linear) and max of several columns, a row each.
+
+    Two scans for any number of columns: one aggregate and one count of values.
+    NaN is missing, as null is.
+    """
+    aggs = []
+    for i, c in enumerate(cols):
+        v = F.when(~F.isnan(F.col(c).cast("double")), F.col(c))
+        aggs.append(F.struct(F.lit(i).alias("field"), F.lit(c).alias("column"), F.count(v).alias("count"), F.avg(v).alias("mean"),
+                             F.stddev_samp(v).alias("std"), F.min(v).cast("double").alias("min"),
+                             F.max(v).cast("double").alias("max")))
+    base = df.agg(F.array(*aggs).alias("s")).select(F.inline("s"))
+    q = quantiles(df, cols, (0.25, 0.5, 0.75))
+    return base.join(q, "field", "left").select("count", "mean", "std", "min", F.col("q_25").alias("p25"), F.col("q_50").alias("p50"),
+                                                F.col("q_75").alias("p75"), "max", "column")
+
+
+def describe(df: DataFrame, col: str) -> DataFrame:
+    """``numeric_describe`` of one column."""
+    return numeric_describe(df, [col]).drop("column")
 
 
 # ------------------------------------------------------------ validation ----
@@ -209,13 +229,15 @@ def validation_verdict(report: DataFrame) -> DataFrame:
 def fingerprint(df: DataFrame, cols: Sequence[str] | None = None, buckets: int = 256) -> DataFrame:
     """Order-insensitive dataset fingerprint.
 
-    Per row ``md5`` of the '|'-joined text of the columns (null -> '\\N');
+    Per row ``md5`` of the '|'-joined text of the columns, in which '\\' and
+    '|' are escaped by '\\' (null -> '\\N', which no escaped text is);
     rows are summed per hash bucket (first two hex digits) as 32-bit
     integers; the fingerprint is the md5 of the ordered bucket list.  The
     result does not depend on row order or partitioning.
     """
     cols = list(cols or df.columns)
-    txt = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols])
+    field = lambda c: F.replace(F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+    txt = F.concat_ws("|", *[F.coalesce(field(c), F.lit("\\N")) for c in cols])
     h = F.md5(txt)
     per_row = df.select(F.conv(F.substring(h, 1, 2), 16, 10).cast("int").alias("b"),
                         F.conv(F.substring(h, 3, 8), 16, 10).cast("bigint").alias("x"))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from habiflow import functions as H
+from habiflow.session import cut_lineage
 
 LAT, LON = "decimalLatitude", "decimalLongitude"
 
@@ -59,10 +60,6 @@ def bucket_rank(df: DataFrame, order: str, key: str, by: Sequence[str] = (),
                .drop("__b", "__r", "__start"))
 
 
-def buckets_for(n_hint: int, per_bucket: int = 200_000) -> int:
-    return max(1, min(1 << 16, math.ceil(max(n_hint, 1) / per_bucket)))
-
-
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = 5, salt: str = "fold",
                      buckets: int = RANK_BUCKETS) -> DataFrame:
     """Deal rows of each label round-robin into ``k`` folds after a
@@ -90,70 +87,111 @@ def hash_shuffle(df: DataFrame, key: str, seed: int = SEED, buckets: int = RANK_
 
 
 # ------------------------------------------------------- buffer join C7 ----
+#
+# Points are put on the sphere as x, y, z in km and dealt to cubic cells.  A
+# chord is never longer than its arc, so points within d km lie within d km
+# here too: the same at the poles and across the 180 degree line.
+
+AXES = ("x", "y", "z")
+SLACK_KM = 1e-6   # above the rounding of a coordinate of some thousands of km
+LEAF = 16         # most reference points of a cell that are compared one by one
+
 
-def _band_deg(buffer_km: float) -> float:
-    return math.degrees(buffer_km / H.EARTH_RADIUS_KM)
+def _on_sphere(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """``df`` with ``__x, __y, __z`` in km."""
+    la, lo, r = F.radians(F.col(lat)), F.radians(F.col(lon)), F.lit(H.EARTH_RADIUS_KM)
+    return df.withColumns({"__x": r * F.cos(la) * F.cos(lo), "__y": r * F.cos(la) * F.sin(lo), "__z": r * F.sin(la)})
 
 
-def _band_width(y: Column, d: float) -> Column:
-    """Longitude width of cells in latitude band ``y``: wide enough for the
-    buffer at the highest |latitude| the band's neighbours reach."""
-    m = F.greatest(F.abs(y - 1), F.abs(y), F.abs(y + 1), F.abs(y + 2)).cast("double")
-    return F.lit(1.001 * d) / F.cos(F.radians(F.least(F.lit(89.0), F.lit(d) * m)))
+def _cell(size: float) -> list[Column]:
+    return [F.floor(F.col(f"__{a}") / F.lit(size)).cast("bigint").alias(f"__c{a}") for a in AXES]
 
 
-def cell_keys(df: DataFrame, buffer_km: float, lat: str = LAT, lon: str = LON) -> DataFrame:
-    """Candidate side: one (by, bx) cell key per row."""
-    d = _band_deg(buffer_km)
-    y = F.floor(F.col(lat) / d).cast("bigint")
-    return (df.withColumn("__by", y)
-              .withColumn("__bx", F.floor(F.col(lon) / _band_width(F.col("__by"), d)).cast("bigint")))
+def _box_distance(size: float) -> Column:
+    """Distance in km from the point to its row's cell, which is ``size`` wide."""
+    total = F.lit(0.0)
+    for a in AXES:
+        low = F.col(f"__c{a}") * F.lit(size)
+        off = F.greatest(low - F.col(f"__{a}"), F.col(f"__{a}") - (low + F.lit(size)), F.lit(0.0))
+        total = total + off * off
+    return F.sqrt(total)
 
 
-def neighbour_keys(df: DataFrame, buffer_km: float, lat: str = LAT, lon: str = LON) -> DataFrame:
-    """Reference side: 3 bands x 3 cells = 9 keys per row covering the buffer."""
-    d = _band_deg(buffer_km)
-    y0 = F.floor(F.col(lat) / d).cast("bigint")
-    x = df.withColumn("__by", F.explode(F.array(y0 - 1, y0, y0 + 1)))
-    width = _band_width(F.col("__by"), d)
-    # across the 180 degree line a point also lies a turn further
-    x = x.withColumn("__turn", F.explode(F.array(*[F.lit(t) for t in (0.0, -360.0, 360.0)])))
-    x = x.filter(F.abs(F.col(lon) + F.col("__turn")) <= 180 + 2 * width)
-    x0 = F.floor((F.col(lon) + F.col("__turn")) / width).cast("bigint")
-    return x.withColumn("__bx", F.explode(F.array(x0 - 1, x0, x0 + 1))).drop("__turn")
+def _around(df: DataFrame, size: float, within: float) -> DataFrame:
+    """A row for each cell that the ball of ``within`` (at most ``size``) km around the point reaches."""
+    x = df.select("*", *[c.alias(f"__o{a}") for a, c in zip(AXES, _cell(size))])
+    for a in AXES:
+        x = x.withColumn(f"__c{a}", F.explode(F.sequence(F.col(f"__o{a}") - 1, F.col(f"__o{a}") + 1)))
+    return x.filter(_box_distance(size) <= F.lit(within + SLACK_KM)).drop(*[f"__o{a}" for a in AXES])
+
+
+def _distinct_points(df: DataFrame, lat: str, lon: str) -> DataFrame:
+    """``__rlat, __rlon, __x, __y, __z``: a site that many rows share is one point."""
+    points = (df.select(F.col(lat).alias("__rlat"), F.col(lon).alias("__rlon"))
+              .filter(F.col("__rlat").isNotNull() & F.col("__rlon").isNotNull()).distinct())
+    return _on_sphere(points, "__rlat", "__rlon")
 
 
 def exclude_within(candidates: DataFrame, references: DataFrame, buffer_km: float = BUFFER_KM,
                    lat: str = LAT, lon: str = LON, ref_lat: str = LAT, ref_lon: str = LON) -> DataFrame:
     """Keep candidates whose nearest reference point is >= buffer_km away.
 
-    Grid-bucket range join: references are reduced to distinct coordinates
-    (a hot site collapses to one row), exploded to their 9 neighbour cells,
-    equi-joined to the candidate's cell and tested with the exact haversine;
-    ``left_anti`` keeps the survivors.  Rows with null coordinates never
-    match and survive, as in the reference's filter order.
+    Reference points are reduced to distinct coordinates, dealt to the cells
+    that their buffer reaches, equi-joined to the candidate's cell and tested
+    with the exact haversine; ``left_anti`` keeps the survivors.  Rows with
+    null coordinates never match and survive, as in the reference's filter
+    order.
     """
-    refs = (references.select(F.col(ref_lat).alias("__rlat"), F.col(ref_lon).alias("__rlon"))
-            .filter(F.col("__rlat").isNotNull() & F.col("__rlon").isNotNull()).distinct())
-    refs = neighbour_keys(refs, buffer_km, "__rlat", "__rlon")
-    cand = cell_keys(candidates, buffer_km, lat, lon)
-    cond = ((cand["__by"] == refs["__by"]) & (cand["__bx"] == refs["__bx"])
-            & (H.haversine_km(cand[lat], cand[lon], refs["__rlat"], refs["__rlon"]) < F.lit(buffer_km)))
-    return cand.join(refs, cond, "left_anti").drop("__by", "__bx")
-
-
-def nearest_distance(candidates: DataFrame, references: DataFrame, key: str,
-                     radius_km: float = BUFFER_KM, lat: str = LAT, lon: str = LON) -> DataFrame:
-    """Distance (km) to the nearest reference within ``radius_km``; null when
-    none is that close.  Same bucket join, left outer + min per key."""
-    refs = (references.select(F.col(lat).alias("__rlat"), F.col(lon).alias("__rlon"))
-            .filter(F.col("__rlat").isNotNull() & F.col("__rlon").isNotNull()).distinct())
-    refs = neighbour_keys(refs, radius_km, "__rlat", "__rlon")
-    cand = cell_keys(candidates.select(key, lat, lon), radius_km, lat, lon)
-    dist = H.haversine_km(cand[lat], cand[lon], refs["__rlat"], refs["__rlon"])
-    j = cand.join(refs, (cand["__by"] == refs["__by"]) & (cand["__bx"] == refs["__bx"]), "left")
-    return (j.withColumn("__d", F.when(dist < radius_km, dist))
-             .groupBy(cand[key]).agg(F.min("__d").alias("nearest_km")))
+    keys = [f"__c{a}" for a in AXES]
+    refs = _around(_distinct_points(references, ref_lat, ref_lon), buffer_km, buffer_km).select("__rlat", "__rlon", *keys)
+    cand = _on_sphere(candidates, lat, lon).select(*candidates.columns, *_cell(buffer_km))
+    cond = H.haversine_km(cand[lat], cand[lon], refs["__rlat"], refs["__rlon"]) < F.lit(buffer_km)
+    for k in keys:
+        cond = (cand[k] == refs[k]) & cond
+    return cand.join(refs, cond, "left_anti").drop(*keys)
+
+
+def nearest_distance(candidates: DataFrame, references: DataFrame, key: str, radius_km: float = BUFFER_KM,
+                     lat: str = LAT, lon: str = LON, leaf: int = LEAF) -> DataFrame:
+    """Distance (km) to the nearest reference within ``radius_km``; null when none is that close.
+
+    A ring search from coarse cells to fine ones.  Every distinct candidate
+    place starts with the ring of cells that its radius reaches.  Each round
+    joins the ring to the counts of its cells, which also name one point a
+    cell; the nearest of those is the running bound, and cells that lie beyond
+    it are dropped.  The others are cut in half along each axis, until no cell
+    of any ring holds more than ``leaf`` points; those are then measured.  So a
+    round's rows follow candidates times ring, however dense the references.
+    """
+    cell = [f"__c{a}" for a in AXES]
+    refs = cut_lineage(_distinct_points(references, lat, lon))
+    places = _on_sphere(candidates.select(F.col(lat).alias("__lat"), F.col(lon).alias("__lon"))
+                        .filter("__lat IS NOT NULL AND __lon IS NOT NULL").distinct(), "__lat", "__lon")
+    place = ["__lat", "__lon", "__x", "__y", "__z"]
+    size = float(radius_km)
+    ring = _around(places, size, radius_km).select(*place, *cell).withColumn("__best", F.lit(float(radius_km)))
+    while True:
+        cells = (refs.withColumns(dict(zip(cell, _cell(size)))).groupBy(*cell)
+                 .agg(F.count(F.lit(1)).alias("__n"), F.min(F.struct("__x", "__y", "__z")).alias("__one")))
+        chord = F.sqrt(sum(((F.col(f"__one.__{a}") - F.col(f"__{a}")) ** 2 for a in AXES), F.lit(0.0)))
+        near = F.min(F.least("__best", chord)).over(Window.partitionBy("__lat", "__lon"))  # the ring of one place
+        found = (ring.join(cells, cell).withColumn("__best", near)
+                 .filter(_box_distance(size) <= F.col("__best") + F.lit(SLACK_KM)).drop("__one"))
+        ring = cut_lineage(found)
+        most = ring.agg(F.max("__n")).first()[0]
+        if most is None or most <= leaf or size < 100 * SLACK_KM:
+            break
+        size /= 2
+        for a in AXES:  # the two halves of each axis
+            ring = ring.withColumn(f"__c{a}", F.explode(F.array(2 * F.col(f"__c{a}"), 2 * F.col(f"__c{a}") + 1)))
+        ring = ring.filter(_box_distance(size) <= F.col("__best") + F.lit(SLACK_KM)).drop("__n")
+    points = refs.select("__rlat", "__rlon", *_cell(size))
+    dist = H.haversine_km(F.col("__lat"), F.col("__lon"), F.col("__rlat"), F.col("__rlon"))
+    best = (ring.select("__lat", "__lon", *cell).join(points, cell).withColumn("__d", dist)
+            .filter(F.col("__d") < F.lit(radius_km)).groupBy("__lat", "__lon").agg(F.min("__d").alias("__d")))
+    rows = candidates.select(F.col(key), F.col(lat).alias("__a"), F.col(lon).alias("__b"))
+    return (rows.join(best, (F.col("__a") == F.col("__lat")) & (F.col("__b") == F.col("__lon")), "left")
+            .groupBy(key).agg(F.min("__d").alias("nearest_km")))
 
 
 # ------------------------------------------------------ pseudo-absence K2 ----
@@ -192,13 +230,13 @@ def pseudo_absences(presences: DataFrame, ratio: float = PSEUDO_RATIO, buffer_km
     Output: lat, lon, datetime (date), year, month, day, occurrence = 0.
     """
     spark = presences.sparkSession
-    pres = presences.filter(F.col(LAT).isNotNull() & F.col(LON).isNotNull())
-    ext = presence_extent(pres, date_col).cache()
+    # what the extent and every round need, computed once
+    pres = cut_lineage(presences.filter(F.col(LAT).isNotNull() & F.col(LON).isNotNull()).select(LAT, LON, date_col))
+    ext = cut_lineage(presence_extent(pres, date_col))
     info = ext.collect()[0]  # one row: box, range, count
     n = int(info["n_presence"])
     target = int(n * ratio)
     if target == 0:
-        ext.unpersist()
         return _absence_rows(spark.range(0).select(
             F.lit(0.0).alias(LAT), F.lit(0.0).alias(LON), F.current_date().alias("absence_date"),
             F.lit(0).cast("bigint").alias("attempt")))
@@ -209,13 +247,12 @@ def pseudo_absences(presences: DataFrame, ratio: float = PSEUDO_RATIO, buffer_km
         if end <= done:
             continue
         att = absence_attempts(spark, done, end, ext)
-        ok = exclude_within(att, pres, buffer_km).checkpoint(eager=True)
+        ok = cut_lineage(exclude_within(att, pres, buffer_km))
         kept.append(ok)
         got += ok.count()
         done = end
         if got >= target or done >= max_attempts:
             break
-    ext.unpersist()
     acc = kept[0]
     for k in kept[1:]:
         acc = acc.unionByName(k)

@@ -201,7 +201,8 @@ def q_agg_feature_summary(spark, sf_dir):
 
 
 def _fingerprint_sql(src: str, cols: list[str]) -> str:
-    txt = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in cols)
+    txt = " || '|' || ".join(
+        f"coalesce(replace(replace(CAST({c} AS VARCHAR), '\\', '\\\\'), '|', '\\|'), '\\N')" for c in cols)
     return f"""
 fp_rows AS (SELECT md5({txt}) AS h FROM {src}),
 fp_b AS (
