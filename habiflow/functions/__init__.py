@@ -160,10 +160,17 @@ def first_clean_line(c: ColLike, min_len: int = 2) -> Column:
 # matches its pattern, so a failed match skips the (exception-driven, slow)
 # parser without changing results.
 _D = r"\d{4,}-\d{1,2}-\d{1,2}"
+_M = r"\d{1,2}:\d{1,2}"
+# digits of a second beyond the sixth, and what follows a time: Z, +hh, +hhmm or +hh:mm
+_LONG_FRACTION = r"(\.\d{6})\d+"
+_ZONE = rf"([T ]{_M}(?::\d{{1,2}}(?:\.\d{{1,6}})?)?)(?:Z|[+-]\d{{2}}(?::?\d{{2}})?)$"
 _FULL_FORMATS = (
-    (rf"^{_D}T\d{{1,2}}:\d{{1,2}}:\d{{1,2}}$", "yyyy-MM-dd'T'HH:mm:ss"),
-    (rf"^{_D}T\d{{1,2}}:\d{{1,2}}$", "yyyy-MM-dd'T'HH:mm"),
-    (rf"^{_D} \d{{1,2}}:\d{{1,2}}:\d{{1,2}}$", "yyyy-MM-dd HH:mm:ss"),
+    (rf"^{_D}T{_M}:\d{{1,2}}$", "yyyy-MM-dd'T'HH:mm:ss"),
+    (rf"^{_D}T{_M}$", "yyyy-MM-dd'T'HH:mm"),
+    (rf"^{_D}T{_M}:\d{{1,2}}\.\d{{1,6}}$", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+    (rf"^{_D} {_M}:\d{{1,2}}$", "yyyy-MM-dd HH:mm:ss"),
+    (rf"^{_D} {_M}$", "yyyy-MM-dd HH:mm"),
+    (rf"^{_D} {_M}:\d{{1,2}}\.\d{{1,6}}$", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
     (rf"^{_D}$", "yyyy-MM-dd"),
 )
 _VERBATIM_FORMATS = (
@@ -178,9 +185,17 @@ def _guarded_parse(t: Column, formats) -> Column:
 
 
 def full_date_text(c: ColLike) -> Column:
-    """Parse 'yyyy-MM-dd[THH:mm[:ss]]' texts; anything shorter is null."""
+    """Parse 'yyyy-MM-dd[(T| )HH:mm[:ss[.fraction]][zone]]' texts; anything shorter is null.
+
+    The time stays as written on the spot: a zone (Z, +hh, +hhmm, +hh:mm) is
+    read and left out, as day, season and climate cell follow the local day.
+    Fractions count to the microsecond.
+    """
     t = F.trim(col(c))
-    return F.when(F.length(t) >= 10, _guarded_parse(t, _FULL_FORMATS))
+    t = F.regexp_replace(F.regexp_replace(t, _LONG_FRACTION, "$1"), _ZONE, "$1")
+    # bound once in a lambda; written out, the formats would repeat the text's expression in the generated code
+    parsed = F.transform(F.array(t), lambda x: F.when(F.length(x) >= 10, _guarded_parse(x, _FULL_FORMATS)))
+    return F.element_at(parsed, 1)
 
 
 def ymd_timestamp(y: ColLike, m: ColLike, d: ColLike) -> Column:

@@ -12,6 +12,8 @@ from habiflow.plans import fixtures as FX
 from habiflow.plans import sqlparts as S
 from habiflow.plans.fixtures import U, with_
 from habiflow.plans.registry import query
+from habiflow.sources import CORRUPT, read_dump, write_dump
+from habiflow import streaming as ST
 
 VARS = FX.CLIMATE_VARS
 OCC = FX.OCC_SQL
@@ -49,6 +51,40 @@ query("flagship_seasonal_climate", FLAGSHIP_SQL)(flagship)
 
 # ------------------------------------------------------------ sources ----
 
+_DUMP_COLS = ("ord", "gbifID", "decimalLatitude", "decimalLongitude", "eventDate", "year", "countryCode", "county", "locality")
+
+
+def _dump(spark, sf_dir):
+    """The occurrences as a tab-separated dump of several files; some lines are cut short or have a field too many."""
+    path = ST.scratch_folders(spark, "dump")[0]
+    o = FX.occ(spark, sf_dir)
+    lat = F.when(F.col("gbifID") % 13 == 0, "n/a").otherwise(F.col("decimalLatitude").cast("string"))
+    text = [F.coalesce(lat if c == "decimalLatitude" else F.col(c).cast("string"), F.lit("")) for c in _DUMP_COLS]
+    line = (F.when(F.col("gbifID") % 29 == 0, F.concat_ws("\t", *text[:4])).when(F.col("gbifID") % 31 == 0, F.concat_ws("\t", *text, F.lit("x")))
+            .otherwise(F.concat_ws("\t", *text)))
+    write_dump(o.select(line.alias("value")), _DUMP_COLS, path)
+    return path
+
+
+@query("src_dump_read", with_(OCC) + """
+SELECT ord, gbifID, CASE WHEN gbifID % 13 <> 0 THEN decimalLatitude END AS decimalLatitude, decimalLongitude,
+       eventDate, year, countryCode, county, locality
+FROM occ WHERE gbifID % 29 <> 0 AND gbifID % 31 <> 0""")
+def q_src_dump_read(spark, sf_dir):
+    """A1/A2: a dump read through its header, without its malformed lines."""
+    good, _ = read_dump(spark, _dump(spark, sf_dir))
+    return good.withColumn("ord", F.col("ord").cast("bigint")).select(*_DUMP_COLS)
+
+
+@query("src_dump_rejects", with_(OCC) + """
+SELECT CASE WHEN gbifID % 29 = 0 THEN 4 ELSE 10 END AS fields, count(*) AS lines
+FROM occ WHERE gbifID % 29 = 0 OR gbifID % 31 = 0 GROUP BY 1""")
+def q_src_dump_rejects(spark, sf_dir):
+    """A1: the malformed lines of a dump, counted by their number of fields."""
+    _, bad = read_dump(spark, _dump(spark, sf_dir))
+    return bad.groupBy(F.size(F.split(CORRUPT, "\t", -1)).alias("fields")).agg(F.count(F.lit(1)).alias("lines"))
+
+
 @query("src_occurrence_scan", with_(OCC, """
 occ_text AS (
   SELECT ord, CAST(gbifID AS VARCHAR) AS gbifID_t,
@@ -290,9 +326,9 @@ SELECT ord, try(make_timestamp(CAST(year AS BIGINT), 1, 1, 0, 0, 0)) + to_days(C
          AS doy_date,
        try(make_timestamp(CAST(year AS BIGINT), 1, 1, 0, 0, 0)) + to_days(CAST(startDayOfYear AS INTEGER) + 400 - 1)
          AS doy_rollover
-FROM occ WHERE startDayOfYear IS NOT NULL""")
+FROM occ""")
 def q_fn_day_of_year(spark, sf_dir):
-    o = FX.occ(spark, sf_dir).filter(F.col("startDayOfYear").isNotNull())
+    o = FX.occ(spark, sf_dir)
     return o.select("ord", H.day_of_year_date("year", "startDayOfYear").alias("doy_date"),
                     H.day_of_year_date("year", F.col("startDayOfYear") + 400).alias("doy_rollover"))
 
@@ -368,9 +404,9 @@ def _first_line_sql(x: str) -> str:
 
 @query("fn_first_clean_line", """
 SELECT conv_id, turn, """ + _first_line_sql("text") + """ AS answer
-FROM conversations WHERE role = 'assistant'""")
+FROM conversations""")
 def q_fn_first_clean_line(spark, sf_dir):
-    c = FX.read(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
+    c = FX.read(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", H.first_clean_line("text").alias("answer"))
 
 
@@ -392,17 +428,17 @@ SELECT itime, ilat, ilon,
   precipitation_amount * 1000.0 AS precipitation_mm,
   precipitation_amount / 25.4 AS precipitation_in,
   relative_humidity * 100.0 AS relative_humidity_pct,
-  wind_speed * 2.237 AS wind_speed_mph
-FROM raster WHERE NOT isnan(wind_speed)""")
+  CASE WHEN NOT isnan(wind_speed) THEN wind_speed * 2.237 END AS wind_speed_mph
+FROM raster""")
 def q_fn_unit_conversions(spark, sf_dir):
-    r = FX.raster(spark, sf_dir).filter(~F.isnan("wind_speed"))
+    r = FX.raster(spark, sf_dir)
     return r.select("itime", "ilat", "ilon",
                     H.kelvin_to_c("air_temperature").alias("air_temperature_c"),
                     H.kelvin_to_f("air_temperature").alias("air_temperature_f"),
                     H.metres_to_mm("precipitation_amount").alias("precipitation_mm"),
                     H.mm_to_inch("precipitation_amount").alias("precipitation_in"),
                     H.fraction_to_percent("relative_humidity").alias("relative_humidity_pct"),
-                    H.ms_to_mph("wind_speed").alias("wind_speed_mph"))
+                    F.when(~F.isnan("wind_speed"), H.ms_to_mph("wind_speed")).alias("wind_speed_mph"))
 
 
 @query("fn_cell_area", with_(FX.RASTER_SQL) + """

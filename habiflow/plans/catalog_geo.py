@@ -194,7 +194,7 @@ WITH docs AS (
   SELECT c_custkey,
     round(30 + 15 * """ + FX.U('jla', 'c_custkey') + """, 6) AS a_lat, round(-120 + 40 * """ + FX.U('jlo', 'c_custkey') + """, 6) AS a_lon,
     round(30 + 15 * """ + FX.U('jlb', 'c_custkey') + """, 6) AS b_lat, round(-120 + 40 * """ + FX.U('jlp', 'c_custkey') + """, 6) AS b_lon
-  FROM customer WHERE c_custkey % 7 = 0)
+  FROM customer)
 SELECT 'Site ' || CAST(c_custkey AS VARCHAR) AS place, a_lat AS lat, a_lon AS lon FROM docs
 UNION ALL SELECT 'Trailhead ' || CAST(c_custkey AS VARCHAR), b_lat, b_lon FROM docs""")
 def q_src_json_map_explode(spark, sf_dir):

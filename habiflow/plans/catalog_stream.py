@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from habiflow import streaming as ST
 from habiflow.operators import model as M
+from habiflow.operators import raster as R
 from habiflow.plans import fixtures as FX
 from habiflow.plans import sqlparts as S
 from habiflow.plans.fixtures import with_
 from habiflow.plans.registry import query
 from habiflow.plans.training import FEATURES, training_set
+from habiflow.session import remove_path
+from habiflow.streaming import clean_stateless as clean_rows
 
 VARS = FX.CLIMATE_VARS
 
@@ -35,20 +38,47 @@ def q_stream_enrich(spark, sf_dir):
     s = ST.enrich_stream(spark, landing, occ.schema, FX.raster(spark, sf_dir), spec)
     ST.run_available_now(s.select("ord", "gbifID", "gridmet_lat", "gridmet_lon", "gridmet_date",
                                   "air_temperature", "wind_speed"), sink, ckpt)
+    remove_path(spark, landing)
     return spark.read.parquet(sink)
 
 
-@query("stream_dedup", with_(FX.OCC_SQL) + """
-SELECT DISTINCT gbifID, decimalLatitude, decimalLongitude, countryCode, locality FROM occ""")
+_ENRICHED = ["ord", "gbifID", "gridmet_lat", "gridmet_lon", "gridmet_date", "air_temperature", "wind_speed"]
+
+
+@query("sink_resume_append", with_(FX.OCC_SQL, FX.RASTER_SQL, S.clean_ctes(dedup=False), S.nearest_join_ctes("clean")) + f"""
+SELECT {", ".join(_ENRICHED)} FROM joined""")
+def q_sink_resume_append(spark, sf_dir):
+    """Enrichment that stops and goes on: half of the rows, then the
+    rest together with files that were delivered before; what the sink holds is
+    not enriched again."""
+    landing, sink, ckpt = ST.scratch_folders(spark, "resume")
+    occ = _occ_with_time(spark, sf_dir)
+    spec, raster = FX.raster_spec(spark, sf_dir), FX.raster(spark, sf_dir)
+    early = F.pmod(F.xxhash64("gbifID"), F.lit(2)) == 0
+    enrich = lambda rows: R.nearest_cell_join(clean_rows(rows), raster, spec).select(*_ENRICHED)
+    for part in (occ.filter(early), occ):
+        part.write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(occ.schema).option("maxFilesPerTrigger", 4).parquet(landing)
+        ST.append_batches(stream, enrich, ["gbifID"], sink, ckpt)
+    remove_path(spark, landing)
+    return spark.read.parquet(sink).select(*_ENRICHED)
+
+
+_DEDUP = ["ord", "gbifID", "decimalLatitude", "decimalLongitude", "countryCode", "locality", "elevation"]
+
+
+@query("stream_dedup", with_(FX.OCC_SQL) + f"""
+SELECT {", ".join(_DEDUP)} FROM occ QUALIFY row_number() OVER (PARTITION BY gbifID ORDER BY ord) = 1""")
 def q_stream_dedup(spark, sf_dir):
-    """Id de-duplication on the stream within an event-time watermark."""
+    """Keep-first by id on the stream; the later rows of an id differ from the first."""
     landing, sink, ckpt = ST.scratch_folders(spark, "dedup")
-    occ = _occ_with_time(spark, sf_dir)
+    occ = _occ_with_time(spark, sf_dir).select(*_DEDUP, "ingest_ts")
     ST.land_in_slices(occ, landing, "ingest_ts", 4)
+    ST.close_landing(occ, landing, "ingest_ts")
     s = spark.readStream.schema(occ.schema).option("maxFilesPerTrigger", 1).parquet(landing)
-    d = ST.dedup_stream(s, "gbifID", "ingest_ts", "2 days")
-    ST.run_available_now(d.select("gbifID", "decimalLatitude", "decimalLongitude", "countryCode", "locality"),
-                         sink, ckpt)
+    d = ST.dedup_stream(s, "gbifID", "ingest_ts", "ord", "2 days")
+    ST.run_available_now(d.filter(F.col("gbifID").isNotNull()).select(*_DEDUP), sink, ckpt)
+    remove_path(spark, landing)
     return spark.read.parquet(sink)
 
 
@@ -56,10 +86,11 @@ def q_stream_dedup(spark, sf_dir):
 def q_stream_score(spark, sf_dir):
     """A fitted forest applied to a stream of feature rows."""
     t = training_set(spark, sf_dir)
-    model = M.random_forest(FEATURES, "occurrence", trees=10, depth=5).fit(t.filter(~F.col("is_test")))
+    model = M.random_forest(FEATURES, "occurrence", trees=100, depth=6).fit(t.filter(~F.col("is_test")))
     landing, sink, ckpt = ST.scratch_folders(spark, "score")
     rows = t.filter(F.col("is_test")).select("row_key", "occurrence", *FEATURES)
-    rows.write.mode("append").parquet(landing)
+    rows.repartition(4).write.mode("append").parquet(landing)
     s = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landing)
     ST.run_available_now(M.score(model, s, ["row_key", "occurrence"]), sink, ckpt)
+    remove_path(spark, landing)
     return spark.read.parquet(sink)

@@ -42,6 +42,8 @@ CLIMATE_VARS = ("air_temperature", "precipitation_amount", "specific_humidity",
                 "relative_humidity", "mean_vapor_pressure_deficit",
                 "potential_evapotranspiration",
                 "surface_downwelling_shortwave_flux_in_air", "wind_speed")
+# Times of day behind a date text.
+TIMES = ("T08:30", "T08:30:15.250", "T08:30:15Z", "T23:30:00+02:00", " 10:30")
 # (base, span) of each variable's uniform draw.
 VAR_RANGES = ((270.0, 40.0), (0.0, 10.0), (0.0, 0.02), (5.0, 95.0),
               (0.0, 3.0), (0.0, 12.0), (50.0, 320.0), (0.5, 11.0))
@@ -125,7 +127,8 @@ def occ(spark: SparkSession, sf_dir: str) -> DataFrame:
             "startDayOfYear", "verbatimEventDate", "dateIdentified", "countryCode", "stateProvince",
             "county", "municipality", "locality", "verbatimLocality", "continent", "basisOfRecord",
             "elevation"]
-    return materialize(spark, "occ", sf_dir, ("events",), lambda: occ_generated(spark, sf_dir)).select(*cols)
+    return materialize(spark, "occ", sf_dir, ("events",), lambda: occ_generated(spark, sf_dir),
+                       version="v5").select(*cols)
 
 
 def occ_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,7 +148,8 @@ def occ_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise(-130 + 70 * H.uniform("lon", i)))
     o = F.col("obs")
     ev_date = (F.when(m6 == 0, F.date_format(o, "yyyy-MM-dd"))
-               .when(m6 == 1, F.concat(F.date_format(o, "yyyy-MM-dd"), F.lit("T08:30")))
+               .when(m6 == 1, F.concat(F.date_format(o, "yyyy-MM-dd"),
+                                       F.element_at(F.array(*[F.lit(t) for t in TIMES]), (m5 + 1).cast("int"))))
                .when(m6 == 2, F.concat(F.date_format(o, "yyyy-MM"), F.lit("/"),
                                        F.date_format(o, "yyyy-MM"))))
     ymd = m6.isin(2, 3)
@@ -169,7 +173,8 @@ def occ_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("County "), (F.col("user_id") % 20).cast("string")).alias("county"),
         F.when(m5 != 0, F.concat(F.lit("Town "), (F.col("user_id") % 40).cast("string"))).alias("municipality"),
         (F.when(i % 3 == 1, "No specific locality recorded")
-          .when(i % 3 == 2, F.concat(F.lit("Site "), F.col("user_id").cast("string")))).alias("locality"),
+          .when((i % 3 == 2) & (F.col("ord") == i), F.concat(F.lit("Site "), F.col("user_id").cast("string")))
+          .when(i % 3 == 2, F.concat(F.lit("Again site "), F.col("user_id").cast("string")))).alias("locality"),
         (F.when(i % 7 == 1, "Canada, British Columbia")
           .when(i % 7 == 2, "no verbatim locality recorded")
           .when(i % 7 >= 3, F.concat(F.lit("Trail near Site "), F.col("user_id").cast("string")))
@@ -177,7 +182,8 @@ def occ_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.when(i % 11 == 5, "ASIA").when(i % 11 != 6, "NORTH_AMERICA")).alias("continent"),
         (F.when(i % 3 == 0, "HumanObservation").when(i % 3 == 1, "PreservedSpecimen")
           .otherwise("MachineObservation")).alias("basisOfRecord"),
-        F.when(i % 8 == 1, F.round(3000 * H.uniform("gelev", i))).alias("elevation"),
+        # the later row of an id differs from the first
+        F.when(i % 8 == 1, F.round(3000 * H.uniform("gelev", i))).when(F.col("ord") != i, F.lit(1.0)).alias("elevation"),
     )
 
 
@@ -275,8 +281,9 @@ def soil(spark: SparkSession) -> DataFrame:
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "customer").select("c_custkey")
-    sites = c.filter(F.col("c_custkey") % 3 == 0).select(
-        F.concat(F.lit("site "), F.col("c_custkey").cast("string")).alias("place_key"))
+    # a place for every customer, of which one in three is named by occurrences
+    sites = c.select(F.concat(F.when(F.col("c_custkey") % 3 == 0, "site ").otherwise("camp "),
+                              F.col("c_custkey").cast("string")).alias("place_key"))
     n = spark.range(40).select(F.col("id"))
     towns = n.filter(F.col("id") % 2 == 0).select(
         F.concat(F.lit("town "), F.col("id").cast("string")).alias("place_key"))
@@ -291,12 +298,11 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def manual_geocodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(kind, place, lat, lon): kind 'locality' or 'municipality'."""
     c = read(spark, sf_dir, "customer").select("c_custkey")
-    loc = c.filter(F.col("c_custkey") % 7 == 0).select(
-        F.lit("locality").alias("kind"),
-        F.concat(F.lit("Site "), F.col("c_custkey").cast("string")).alias("place"))
-    mun = c.filter((F.col("c_custkey") < 40) & (F.col("c_custkey") % 5 == 0)).select(
-        F.lit("municipality").alias("kind"),
-        F.concat(F.lit("Town "), F.col("c_custkey").cast("string")).alias("place"))
+    k = F.col("c_custkey")
+    loc = c.select(F.lit("locality").alias("kind"),
+                   F.concat(F.when(k % 7 == 0, "Site ").otherwise("Hut "), k.cast("string")).alias("place"))
+    mun = c.select(F.lit("municipality").alias("kind"),
+                   F.concat(F.when((k < 40) & (k % 5 == 0), "Town ").otherwise("Village "), k.cast("string")).alias("place"))
     p = loc.unionByName(mun)
     return p.select("kind", "place",
                     F.round(30 + 15 * H.uniform("mlat", F.col("place")), 6).alias("lat"),
@@ -304,8 +310,8 @@ def manual_geocodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manual_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON map document per customer with c_custkey % 7 = 0 (A7 input)."""
-    c = read(spark, sf_dir, "customer").select("c_custkey").filter(F.col("c_custkey") % 7 == 0)
+    """One JSON map document per customer (A7 input)."""
+    c = read(spark, sf_dir, "customer").select("c_custkey")
     k = F.col("c_custkey")
     def entry(name: str, ls: str, os_: str) -> F.Column:
         return F.concat(F.lit('"'), F.lit(name), k.cast("string"), F.lit('": {"lat": '),
@@ -378,7 +384,7 @@ occ AS (
     CASE WHEN event_id % 10 = 3 THEN NULL WHEN event_id % 97 = 0 THEN 0.0
          ELSE -130 + 70 * {U('lon', 'event_id')} END AS decimalLongitude,
     CASE event_id % 6 WHEN 0 THEN strftime(obs, '%Y-%m-%d')
-                      WHEN 1 THEN strftime(obs, '%Y-%m-%d') || 'T08:30'
+                      WHEN 1 THEN strftime(obs, '%Y-%m-%d') || {list(TIMES)!r}[event_id % 5 + 1]
                       WHEN 2 THEN strftime(obs, '%Y-%m') || '/' || strftime(obs, '%Y-%m') END AS eventDate,
     CASE WHEN event_id % 6 IN (2, 3, 4) THEN CAST(year(obs) AS DOUBLE) END AS year,
     CASE WHEN event_id % 6 IN (2, 3) THEN CAST(month(obs) AS DOUBLE) END AS month,
@@ -392,14 +398,14 @@ occ AS (
     'County ' || CAST(user_id % 20 AS VARCHAR) AS county,
     CASE WHEN event_id % 5 <> 0 THEN 'Town ' || CAST(user_id % 40 AS VARCHAR) END AS municipality,
     CASE event_id % 3 WHEN 1 THEN 'No specific locality recorded'
-                      WHEN 2 THEN 'Site ' || CAST(user_id AS VARCHAR) END AS locality,
+                      WHEN 2 THEN CASE WHEN ord = event_id THEN 'Site ' ELSE 'Again site ' END || CAST(user_id AS VARCHAR) END AS locality,
     CASE WHEN event_id % 7 = 1 THEN 'Canada, British Columbia'
          WHEN event_id % 7 = 2 THEN 'no verbatim locality recorded'
          WHEN event_id % 7 >= 3 THEN 'Trail near Site ' || CAST(user_id AS VARCHAR) END AS verbatimLocality,
     CASE WHEN event_id % 11 = 5 THEN 'ASIA' WHEN event_id % 11 <> 6 THEN 'NORTH_AMERICA' END AS continent,
     CASE event_id % 3 WHEN 0 THEN 'HumanObservation' WHEN 1 THEN 'PreservedSpecimen'
                       ELSE 'MachineObservation' END AS basisOfRecord,
-    CASE WHEN event_id % 8 = 1 THEN round(3000 * {U('gelev', 'event_id')}) END AS elevation
+    CASE WHEN event_id % 8 = 1 THEN round(3000 * {U('gelev', 'event_id')}) WHEN ord <> event_id THEN 1.0 END AS elevation
   FROM occ_b
 )"""
 
@@ -460,7 +466,7 @@ soil AS (
 
 GAZETTEER_SQL = f"""
 gaz_keys AS (
-  SELECT 'site ' || CAST(c_custkey AS VARCHAR) AS place_key FROM customer WHERE c_custkey % 3 = 0
+  SELECT CASE WHEN c_custkey % 3 = 0 THEN 'site ' ELSE 'camp ' END || CAST(c_custkey AS VARCHAR) AS place_key FROM customer
   UNION ALL SELECT 'town ' || CAST(range AS VARCHAR) FROM range(40) WHERE range % 2 = 0
   UNION ALL SELECT 'county ' || CAST(range AS VARCHAR) || ', montana, us' FROM range(40) WHERE range < 20
 ),
@@ -471,9 +477,11 @@ gazetteer AS (
 
 MANUAL_SQL = f"""
 manual_p AS (
-  SELECT 'locality' AS kind, 'Site ' || CAST(c_custkey AS VARCHAR) AS place FROM customer WHERE c_custkey % 7 = 0
+  SELECT 'locality' AS kind, CASE WHEN c_custkey % 7 = 0 THEN 'Site ' ELSE 'Hut ' END || CAST(c_custkey AS VARCHAR) AS place
+  FROM customer
   UNION ALL
-  SELECT 'municipality', 'Town ' || CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey < 40 AND c_custkey % 5 = 0
+  SELECT 'municipality', CASE WHEN c_custkey < 40 AND c_custkey % 5 = 0 THEN 'Town ' ELSE 'Village ' END
+         || CAST(c_custkey AS VARCHAR) FROM customer
 ),
 manual AS (
   SELECT kind, place, round(30 + 15 * {U('mlat', 'place')}, 6) AS lat,

@@ -18,10 +18,11 @@ OCC_COLS = ("ord, gbifID, decimalLatitude, decimalLongitude, eventDate, year, mo
 
 
 def full_date(x: str) -> str:
-    t = f"trim({x})"
-    return (f"CASE WHEN length({t}) >= 10 THEN coalesce("
-            f"try_strptime({t}, '%Y-%m-%dT%H:%M:%S'), try_strptime({t}, '%Y-%m-%dT%H:%M'), "
-            f"try_strptime({t}, '%Y-%m-%d %H:%M:%S'), try_strptime({t}, '%Y-%m-%d')) END")
+    t = f"regexp_replace(trim({x}), '(\\.\\d{{6}})\\d+', '\\1')"
+    t = (f"regexp_replace({t}, '([T ]\\d{{1,2}}:\\d{{1,2}}(?::\\d{{1,2}}(?:\\.\\d{{1,6}})?)?)"
+         f"(?:Z|[+-]\\d{{2}}(?::?\\d{{2}})?)$', '\\1')")
+    forms = [f"try_strptime({t}, '%Y-%m-%d{sep}%H:%M{sec}')" for sep in ("T", " ") for sec in (":%S", "", ":%S.%f")]
+    return f"CASE WHEN length({t}) >= 10 THEN coalesce({', '.join(forms)}, try_strptime({t}, '%Y-%m-%d')) END"
 
 
 def verbatim(x: str) -> str:

@@ -43,4 +43,4 @@ def build_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FX.materialize(spark, "train", sf_dir, ("events", "customer"), lambda: build_training(spark, sf_dir),
-                          version="v4")
+                          version="v5")

@@ -93,3 +93,9 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint (survives executor loss; never localCheckpoint)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote, on whatever file system it lies."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

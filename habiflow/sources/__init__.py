@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from habiflow.session import cut_lineage
+
 # Columns of the occurrence dump the pipeline uses, with their types.  All
 # other columns of a 200+ column dump are read as text and pruned by select.
 OCCURRENCE_TYPES: dict[str, str] = {
@@ -60,6 +62,43 @@ def read_occurrences(spark: SparkSession, path: str, columns: Sequence[str] | No
     return df
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_dump(spark: SparkSession, path: str, required: Sequence[str] = GATE_COLUMNS,
+              types: dict[str, str] = OCCURRENCE_TYPES) -> tuple[DataFrame, DataFrame]:
+    """A1/A2 on read: the typed rows of a tab-separated dump, and its malformed lines.
+
+    The gate sees the header only.  The header gives the schema, all text and a
+    channel for lines with more or fewer fields than it; those come back as
+    ``_corrupt_record`` and nowhere else.  Texts that are no number where one
+    is due are null, as in :func:`read_occurrences`.  A folder may hold many
+    files, each with its header.
+    """
+    reader = spark.read.option("sep", "\t").option("quote", "\u0000").option("recursiveFileLookup", True)
+    names = reader.option("header", True).csv(path).columns
+    missing = [c for c in required if c not in names]
+    if missing:
+        raise ValueError(f"Missing required columns: {missing}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+    rows = (reader.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .option("columnPruning", False)  # else fields that no one reads are not counted
+            .csv(path))
+    good = type_occurrence_text(rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT), types)
+    # stored with a parsed column, as Spark refuses to parse lines for this one alone
+    bad = cut_lineage(rows.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT, names[0]))
+    return good, bad.select(CORRUPT)
+
+
+def write_dump(lines: DataFrame, names: Sequence[str], path: str, files: int = 4) -> None:
+    """Write ``lines(value)`` as ``files`` text files that each begin with the header of ``names``."""
+    n = F.pmod(F.xxhash64("value"), F.lit(files)).cast("int")
+    head = lines.sparkSession.range(files).select(F.lit("\t".join(names)).alias("value"), F.col("id").cast("int").alias("file"), F.lit(0).alias("at"))
+    body = lines.select("value", n.alias("file"), F.lit(1).alias("at"))
+    (head.unionByName(body).repartition("file").sortWithinPartitions("file", "at").select("file", "value")
+     .write.mode("overwrite").partitionBy("file").text(path))
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
                schema: T.StructType | str | None = None) -> DataFrame:
     """Read a processed / enriched stage table (A3)."""

@@ -1,8 +1,8 @@
 """Structured Streaming forms of the incremental jobs.
 
 New occurrence files land in a folder; a file stream applies the stateless
-cleaning steps, joins the static raster (stream-static join), de-duplicates
-ids within a watermark and appends to a Parquet sink.  Progress lives in the
+cleaning steps, joins the static raster (stream-static join), keeps the first
+row of an id by event-time sessions and appends to a Parquet sink.  Progress lives in the
 query checkpoint, so a restarted job resumes exactly where it stopped (the
 streaming form of the reference's resume-by-key loop).
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,9 +62,43 @@ def run_available_now(stream: DataFrame, sink: str, checkpoint: str, fmt: str =
     q.awaitTermination()
 
 
-def dedup_stream(stream: DataFrame, key: str, event_time: str, delay: str = "2 days") -> DataFrame:
-    """Drop repeated ids seen within the watermark delay (bounded state)."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+def dedup_stream(stream: DataFrame, key: str, event_time: str, order: str, delay: str = "2 days") -> DataFrame:
+    """Of the rows of an id the first by ``order`` (E1's keep-first), whichever arrives first.
+
+    Rows of an id whose event times lie within ``delay`` of each other are one
+    session; it is emitted once the watermark has passed its end, so state
+    holds the open sessions only, a row each.  Rows without an event time are
+    dropped; rows without an id are one id.  Sessions that are open at the end
+    of the input stay in the state; :func:`close_landing` closes them.
+    """
+    first = F.min_by(F.struct(*stream.columns), F.col(order))
+    return (stream.withWatermark(event_time, delay).groupBy(F.session_window(event_time, delay), key)
+            .agg(first.alias("first")).select("first.*"))
+
+
+def close_landing(df: DataFrame, folder: str, event_time: str, after: str = "30 days") -> None:
+    """Land a row without values beyond every event time of ``df``, which moves the watermark past all sessions."""
+    last = df.agg((F.max(event_time) + F.expr(f"INTERVAL {after}")).alias(event_time))
+    cols = [F.col(f.name) if f.name == event_time else F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+    last.select(*cols).write.mode("append").parquet(folder)
+
+
+def append_batches(stream: DataFrame, enrich: Callable[[DataFrame], DataFrame], key: Sequence[str], sink: str, checkpoint: str) -> None:
+    """Enrich the keys of each micro-batch that the sink doesn't hold yet and append them.
+
+    A micro-batch writes its own folder ``batch=<id>`` and looks only at the
+    folders of earlier batches, so one that is run again after a failure
+    replaces what it wrote before and adds nothing.
+    """
+    from habiflow.sources import resume_pending
+
+    def write(rows: DataFrame, batch: int) -> None:
+        earlier = [f"{sink}/batch={b}" for b in range(batch)]
+        todo = resume_pending(rows, rows.sparkSession.read.parquet(*earlier), key) if earlier else rows
+        enrich(todo).write.mode("overwrite").parquet(f"{sink}/batch={batch}")
+
+    (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+     .start().awaitTermination())
 
 
 def scratch_folders(spark: SparkSession, name: str) -> tuple[str, str, str]:

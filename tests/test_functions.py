@@ -24,6 +24,17 @@ def test_date_cascade_formats(spark):
     assert got[3] is None and got[4] is None and got[5] is None and got[6] is None
 
 
+def test_date_texts_with_zones_and_fractions(spark):
+    rows = [("2010-05-03T08:30:15Z", dt.datetime(2010, 5, 3, 8, 30, 15)), ("2010-05-03T23:30:00+02:00", dt.datetime(2010, 5, 3, 23, 30)),
+            ("2010-05-03T23:30-0700", dt.datetime(2010, 5, 3, 23, 30)), ("2010-05-03 10:30", dt.datetime(2010, 5, 3, 10, 30)),
+            ("2010-05-03T08:30:15.250", dt.datetime(2010, 5, 3, 8, 30, 15, 250000)),
+            ("2010-05-03 08:30:15.1234567Z", dt.datetime(2010, 5, 3, 8, 30, 15, 123456)), ("2010-05-03T08:30:15+2", None),
+            ("2010-05-03T25:00Z", None), ("2010-05-03Z", None), ("2010-13-03T08:30Z", None), ("2010-05-03T8:5", None)]
+    df = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "i int, s string")
+    got = {r["i"]: r["t"] for r in df.select("i", H.full_date_text("s").alias("t")).collect()}
+    assert [got[i] for i in range(len(rows))] == [r[1] for r in rows]
+
+
 def test_verbatim_and_doy(spark):
     assert one(spark, H.verbatim_date(F.lit("1992 Jul 22"))) == dt.datetime(1992, 7, 22)
     assert one(spark, H.day_of_year_date(F.lit(2001.0), F.lit(32.0))) == dt.datetime(2001, 2, 1)
