@@ -42,7 +42,7 @@ def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     clean = secret_scan.redact(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return clean.select(docs.columns)
+    return clean.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +59,9 @@ def mixing_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     out = rates.filter((draw >= F.col("rate")) & (F.col("p_clean") < 0.5)).select(F.col("doc_id").alias("_id"), F.col("_h").alias("_out"))
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("doc_id").alias("_key"),
                     mixing.text_hash().alias("_h"))
-    return d.join(out, F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_out")), "left_anti").select("_doc.*")
+    # shuffled at any size: what goes is a share of all rows, not a table that stays small
+    return (d.join(out.hint("merge"), F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_out")), "left_anti")
+            .select("_doc.*"))
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
