@@ -65,15 +65,6 @@ def uniform(salt: str, *keys: ColLike) -> Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
 
 
-def md5_slices(salt: str, key: Column, n: int = 4) -> list[Column]:
-    """Up to four independent uniforms carved out of one md5 digest."""
-    h = F.md5(F.concat(F.lit(salt), F.lit(":"), key.cast("string")))
-    return [F.conv(F.substring(h, 1 + 8 * i, 8), 16, 10).cast("bigint")
-            / F.lit(4294967296.0) for i in range(n)]
-
-
-M32 = 4294967296
-
 
 def int_uniform(key: ColLike, salt: int) -> Column:
     """Cheap deterministic uniform in [0, 1) from a non-negative integer key.

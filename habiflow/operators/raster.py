@@ -11,8 +11,9 @@ cell, not a nearest-neighbour search.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from habiflow import functions as H
@@ -195,7 +196,7 @@ def snap_cells(points: DataFrame, spec: RasterSpec, lat_col: str = "decimalLatit
 
 
 def select_nearest(raster: DataFrame, spec: RasterSpec, lat: float | None = None,
-                   lon: float | None = None, date: str | None = None) -> DataFrame:
+                   lon: float | None = None, day: str | None = None) -> DataFrame:
     """Label selection with ``method='nearest'`` on any subset of axes.
 
     Scalars are snapped on the driver-free column path (``lit``); the filter
@@ -207,25 +208,90 @@ def select_nearest(raster: DataFrame, spec: RasterSpec, lat: float | None = None
         cond = cond & (F.col("ilat") == spec.lat.index(F.lit(float(lat))))
     if lon is not None:
         cond = cond & (F.col("ilon") == spec.lon.index(F.lit(float(lon))))
-    if date is not None:
-        cond = cond & (F.col("itime") == spec.time_index(F.lit(date).cast("timestamp")))
+    if day is not None:
+        cond = cond & (F.col("itime") == spec.time_index(F.lit(day).cast("timestamp")))
     return r.filter(cond)
 
 
 def slice_time(raster: DataFrame, start: str | None = None, end: str | None = None,
-               month: str | None = None) -> DataFrame:
+               month: str | None = None, spec: RasterSpec | None = None) -> DataFrame:
     """Label / partial-date slices (B27): inclusive ``[start, end]`` or a month
-    given as 'yyyy-MM'."""
+    given as 'yyyy-MM'.
+
+    With ``spec`` and a ``tblock`` partition column, the labels become a range
+    of blocks, so only those partitions are read.
+    """
+    if month is not None:
+        first = date.fromisoformat(f"{month}-01")
+        last = (first.replace(day=28) + timedelta(days=4)).replace(day=1) - timedelta(days=1)
+        start = max(x for x in (start, first.isoformat()) if x is not None)
+        end = min(x for x in (end, last.isoformat()) if x is not None)
     c = F.lit(True)
     if start is not None:
         c = c & (F.col("time") >= F.lit(start).cast("date"))
     if end is not None:
         c = c & (F.col("time") <= F.lit(end).cast("date"))
-    if month is not None:
-        c = c & (F.date_format("time", "yyyy-MM") == F.lit(month))
+    if spec is not None and "tblock" in raster.columns:
+        width = spec.time_step_days * spec.time_block
+        block = lambda day: (date.fromisoformat(day) - date.fromisoformat(spec.time_origin)).days // width
+        if start is not None:
+            c = c & (F.col("tblock") >= block(start))
+        if end is not None:
+            c = c & (F.col("tblock") <= block(end))
     return raster.filter(c)
 
 
+def latest_slice(raster: DataFrame) -> DataFrame:
+    """The rows of the last time step.
+
+    The last block comes from the values of the partition column, for which no
+    data column is read; only that partition is then read.
+    """
+    if "tblock" in raster.columns:
+        last = raster.agg(F.max("tblock")).first()[0]  # one number
+        raster = raster.filter(F.col("tblock") == F.lit(last))
+    latest = raster.agg(F.max("time").alias("__t"))
+    return raster.join(F.broadcast(latest), F.col("time") == F.col("__t")).drop("__t")  # one row
+
+
+def nearest_on_axis(labels: DataFrame, label: str, axis: DataFrame, value: str, index: str, buckets: int = 1024) -> DataFrame:
+    """C12 for many labels and an axis of any spacing: ``label, index, value`` for each different label.
+
+    Labels and breakpoints are merged in order; a label takes the breakpoint
+    before it or the one after, whichever is nearer, and of two as near the
+    lower index.  The order is cut into equal ranges that are sorted apart; the
+    last breakpoint before a range and the first after it come from a table of
+    a row a range.  A null label, or an empty axis, gives null.
+    """
+    points = axis.select(F.col(value).cast("double").alias("v"), F.col(index).alias("i")).filter("v IS NOT NULL")
+    points = points.groupBy("v").agg(F.min("i").alias("i"))
+    wanted = labels.select(F.col(label).cast("double").alias("v")).distinct()
+    ends = points.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).first()  # one row
+    if ends["lo"] is None:
+        return wanted.select(F.col("v").alias(label), F.lit(None).cast(axis.schema[index].dataType).alias(index),
+                             F.lit(None).cast("double").alias(value))
+    lo, width = ends["lo"], (ends["hi"] - ends["lo"]) / buckets or 1.0
+    bucket = F.least(F.greatest(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(0)), F.lit(buckets - 1)).cast("int").alias("b")
+    points, wanted = points.select(bucket, "v", "i"), wanted.select(bucket, "v")
+    at = F.struct("v", "i")
+    edges = points.groupBy("b").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+    order = Window.orderBy("b")  # a row a range
+    edges = (labels.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b")).join(edges, "b", "left")
+             .select("b", F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("before"),
+                     F.min("first").over(order.rowsBetween(1, Window.unboundedFollowing)).alias("after")))
+    both = points.select("b", "v", F.struct("v", "i").alias("p")).unionByName(wanted.withColumn("p", F.lit(None).cast(points.select(at).schema[0].dataType)))
+    inside = Window.partitionBy("b").orderBy("v")
+    both = both.select("b", "v", "p",
+                       F.last("p", True).over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias("down"),
+                       F.first("p", True).over(inside.rangeBetween(Window.currentRow, Window.unboundedFollowing)).alias("up"))
+    found = (both.filter(F.col("p").isNull()).join(F.broadcast(edges), "b", "left")  # ``buckets`` rows
+             .select("v", F.coalesce("down", "before").alias("down"), F.coalesce("up", "after").alias("up")))
+    near = [F.when(F.col(c).isNotNull(), F.struct(F.abs(F.col(f"{c}.v") - F.col("v")).alias("d"), F.col(f"{c}.i").alias("i"),
+                                                 F.col(f"{c}.v").alias("x"))) for c in ("down", "up")]
+    best = F.when(F.col("v").isNotNull(), F.least(*near))
+    return found.select(F.col("v").alias(label), best["i"].alias(index), best["x"].alias(value))
+
+
 def slice_index(raster: DataFrame, **ranges: tuple[int, int]) -> DataFrame:
     """Position selection (``isel``): half-open index ranges per axis index column."""
     c = F.lit(True)
@@ -255,6 +321,17 @@ def raster_extent(raster: DataFrame) -> DataFrame:
                       F.count_distinct("time").alias("n_time"))
 
 
+def axes_extent(raster: DataFrame) -> DataFrame:
+    """D10 of a gridded cube: :func:`raster_extent` from the sets of axis values.
+
+    One aggregation without expanding the rows for each distinct count; a set
+    holds an axis, which is what a task combines and sends.
+    """
+    sets = raster.agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in ("lat", "lon", "time")])
+    ends = [f(c).alias(f"{c}_{n}") for c in ("lat", "lon", "time") for n, f in (("min", F.array_min), ("max", F.array_max))]
+    return sets.select(*ends, *[F.size(c).cast("long").alias(f"n_{c}") for c in ("lat", "lon", "time")])
+
+
 def align_inner(a: DataFrame, b: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Align two cubes on exact coordinates (C10).  ``how='exact'`` raises
     through the caller's check of :func:`alignment_mismatch`."""
@@ -323,7 +400,6 @@ def rolling_mean(annual: DataFrame, value: str, years: int = 3,
                  cell: tuple[str, ...] = ("ilat", "ilon"), order: str = "year") -> DataFrame:
     """Trailing mean over ``years`` rows per cell (E7).  The window is
     partitioned by cell, so each task holds one cell's time series."""
-    from pyspark.sql import Window
     w = Window.partitionBy(*cell).orderBy(order).rowsBetween(-(years - 1), 0)
     return annual.withColumn(f"{value}_rolling", F.avg(value).over(w))
 
@@ -338,6 +414,32 @@ def to_wide(raster: DataFrame, variable: str, lon_values: list[float] | None = N
     return p.agg(F.first(variable))
 
 
+def from_wide(wide: DataFrame, value: str, column_axis: str = "ilon", prefix: str = "") -> DataFrame:
+    """Wide table -> cube (A15): one row for each (row axes, column axis), the inverse of :func:`to_wide`.
+
+    Columns named ``prefix`` and a whole number are values of the column axis,
+    all others row axes.
+    """
+    named = {c: c[len(prefix):] for c in wide.columns if c.startswith(prefix) and c[len(prefix):].lstrip("-").isdigit()}
+    if not named:
+        raise ValueError(f"no columns of axis {column_axis}")
+    rows = [c for c in wide.columns if c not in named]
+    long = wide.unpivot(rows, list(named), "__c", value)
+    return long.select(*rows, F.substring("__c", len(prefix) + 1, 20).cast("int").alias(column_axis), value)
+
+
+def density(cube: DataFrame, axes: list[str]) -> DataFrame:
+    """A15 check before a table becomes an array: one row with ``n_rows``, ``n_cells`` (product of
+    the axes' sizes), ``n_repeated`` coordinates and ``dense``."""
+    per = cube.groupBy(*axes).agg(F.count(F.lit(1)).alias("n"))
+    sizes = [F.size(F.collect_set(a)).cast("long") for a in axes]  # an axis a set
+    cells = sizes[0]
+    for x in sizes[1:]:
+        cells = cells * x
+    one = per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), cells.alias("n_cells"), F.count_if(F.col("n") > 1).alias("n_repeated"))
+    return one.withColumn("dense", (F.col("n_rows") == F.col("n_cells")) & (F.col("n_repeated") == 0))
+
+
 def broadcast_axes(a: DataFrame, b: DataFrame) -> DataFrame:
     """Cartesian product of two small axis tables (C9); both are axis-sized."""
     return a.crossJoin(F.broadcast(b))

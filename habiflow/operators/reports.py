@@ -164,6 +164,50 @@ def latest_by(df: DataFrame, group: str, ts: str, tie: str) -> DataFrame:
     return a.select(group, *[F.col("__r")[c].alias(c) for c in others])
 
 
+def runs_by_id(runs: DataFrame, ids: DataFrame, key: str = "version_id") -> DataFrame:
+    """The run of each wanted id, null columns and ``found`` = false where there is none."""
+    return (ids.select(key).distinct().join(runs.withColumn("found", F.lit(True)), key, "left")
+            .withColumn("found", F.coalesce("found", F.lit(False))))
+
+
+def metrics_by_id(runs: DataFrame, ids: DataFrame, doc: str = "metrics", key: str = "version_id") -> DataFrame:
+    """``key, metric, value`` of the wanted runs from their nested metric documents.
+
+    ``doc`` is a JSON text ``{metric: number}`` or ``{group: {metric: number}}``; the latter's names are ``group.metric``.
+    """
+    wanted = runs.join(ids.select(key).distinct(), key, "left_semi")
+    flat = F.from_json(doc, "map<string,string>")
+    one = wanted.select(key, F.explode(flat).alias("name", "body"))
+    inner = F.from_json("body", "map<string,double>")
+    nested = (one.filter(F.col("body").startswith("{")).select(key, "name", F.explode(inner).alias("part", "value"))
+              .select(key, F.concat_ws(".", "name", "part").alias("metric"), "value"))
+    plain = one.filter(~F.col("body").startswith("{")).select(key, F.col("name").alias("metric"), F.col("body").try_cast("double").alias("value"))
+    return plain.unionByName(nested)
+
+
+def current_runs(runs: DataFrame, pointers: DataFrame, as_of: str | None = None, group: str = "model_name", key: str = "version_id",
+                 set_at: str = "set_at") -> DataFrame:
+    """The run that each model's "current" pointer names, now or as of a time.
+
+    ``pointers`` logs every setting of the pointer; the last one up to ``as_of``
+    counts (ties by the larger id).  A pointer to a run that is gone keeps its row.
+    """
+    log = pointers if as_of is None else pointers.filter(F.col(set_at) <= F.lit(as_of).cast("timestamp"))
+    last = log.groupBy(group).agg(F.max(F.struct(set_at, key)).alias("p")).select(group, f"p.{set_at}", f"p.{key}")
+    return last.join(runs.drop(group), key, "left")
+
+
+def compare_models(importance: DataFrame, models: Sequence[str], n: int = 10) -> DataFrame:
+    """The top ``n`` features of the wanted models, one table; models without a row are left out (see :func:`missing_models`)."""
+    return topn_per_group(importance.filter(F.col("model").isin(list(models))), "model", "importance", n, "feature")
+
+
+def missing_models(importance: DataFrame, models: Sequence[str]) -> DataFrame:
+    """G2 warning: wanted models that the table has nothing of."""
+    wanted = importance.sparkSession.createDataFrame([(m,) for m in models], "model string")
+    return wanted.join(importance.select("model").distinct(), "model", "left_anti")
+
+
 def compare_runs(runs: DataFrame, group: str = "model_name", ts: str = "ts", key: str = "version_id",
                  metric: str = "accuracy") -> DataFrame:
     """Per model name, the latest run and the best run side by side."""

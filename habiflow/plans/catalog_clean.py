@@ -196,12 +196,15 @@ def q_flt_coords_or_location(spark, sf_dir):
     return C.filter_coords_or_location(FX.occ(spark, sf_dir)).select("ord", "gbifID")
 
 
-@query("flt_removed_rows", with_(OCC, f"""
-occ2 AS (SELECT * REPLACE (CASE WHEN gbifID % 2 = 0 THEN NULL ELSE county END AS county) FROM occ)""") + f"""
+_BARE = ("county", "municipality", "stateProvince", "verbatimLocality")
+
+
+@query("flt_removed_rows", with_(OCC, "occ2 AS (SELECT * REPLACE (" + ", ".join(
+    f"CASE WHEN gbifID % 3 <> 0 THEN {c} END AS {c}" for c in _BARE) + ") FROM occ)") + f"""
 SELECT ord, gbifID FROM occ2 WHERE NOT ({_LOC})""")
 def q_flt_removed_rows(spark, sf_dir):
-    o = FX.occ(spark, sf_dir).withColumn(
-        "county", F.when(F.col("gbifID") % 2 == 0, F.lit(None).cast("string")).otherwise(F.col("county")))
+    """The rows that have neither coordinates nor any location text."""
+    o = FX.occ(spark, sf_dir).withColumns({c: F.when(F.col("gbifID") % 3 != 0, F.col(c)) for c in _BARE})
     return C.removed_rows(o).select("ord", "gbifID")
 
 

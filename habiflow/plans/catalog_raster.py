@@ -112,10 +112,9 @@ def q_join_broadcast_axes(spark, sf_dir):
     return R.broadcast_axes(r.select("ilat", "lat").distinct(), r.select("ilon", "lon").distinct())
 
 
-@query("join_align_inner", with_(RAS, S.raster_clean_cte()) + """
+@query("join_align_inner", with_(RAS, "ra AS MATERIALIZED (SELECT itime, ilat, ilon, air_temperature FROM raster)") + """
 SELECT a.itime, a.ilat, a.ilon, a.air_temperature - b.air_temperature AS delta
-FROM rc a JOIN (SELECT itime - 1 AS itime, ilat, ilon, air_temperature FROM rc) b
-  USING (itime, ilat, ilon)""")
+FROM ra a JOIN ra b ON b.itime = a.itime + 1 AND b.ilat = a.ilat AND b.ilon = a.ilon""")
 def q_join_align_inner(spark, sf_dir):
     """Inner alignment on exact coordinates of a cube and its one-step
     time shift (arithmetic between aligned cubes)."""
@@ -161,8 +160,8 @@ SELECT itime, ilat, ilon, time, air_temperature FROM rc
 WHERE strftime(time, '%Y-%m') = '1979-05' AND ilat >= 2 AND ilat < 6""")
 def q_raster_slice(spark, sf_dir):
     """Partial-date label slice (a month) and a position slice (isel)."""
-    r, _ = clean_raster(spark, sf_dir)
-    s = R.slice_index(R.slice_time(r, month="1979-05"), ilat=(2, 6))
+    r, spec = clean_raster(spark, sf_dir)
+    s = R.slice_index(R.slice_time(r, month="1979-05", spec=spec), ilat=(2, 6))
     return s.select("itime", "ilat", "ilon", "time", "air_temperature")
 
 
@@ -171,8 +170,8 @@ SELECT itime, ilat, ilon, time, precipitation_amount FROM rc
 WHERE time BETWEEN DATE '1979-03-01' AND DATE '1979-06-30' AND lat BETWEEN 40 AND 46""")
 def q_raster_slice_range(spark, sf_dir):
     """Inclusive label slices on time and latitude."""
-    r, _ = clean_raster(spark, sf_dir)
-    s = R.slice_time(r, start="1979-03-01", end="1979-06-30").filter(F.col("lat").between(40, 46))
+    r, spec = clean_raster(spark, sf_dir)
+    s = R.slice_time(r, start="1979-03-01", end="1979-06-30", spec=spec).filter(F.col("lat").between(40, 46))
     return s.select("itime", "ilat", "ilon", "time", "precipitation_amount")
 
 
@@ -186,6 +185,49 @@ def q_raster_pivot(spark, sf_dir):
     return w.select("itime", "ilat", *[F.col(str(k)).alias(f"lon_{k}") for k in range(spec.lon.size)])
 
 
+@query("raster_from_wide", with_(RAS, S.raster_clean_cte()) + """
+SELECT itime, ilat, ilon, air_temperature FROM rc""")
+def q_raster_from_wide(spark, sf_dir):
+    """The wide table read back into a cube (the round trip gives every cell)."""
+    r, spec = clean_raster(spark, sf_dir)
+    w = R.to_wide(r, "air_temperature", list(range(spec.lon.size)))
+    return R.from_wide(w, "air_temperature").select("itime", "ilat", "ilon", "air_temperature")
+
+
+@query("agg_cube_density", with_(OCC, S.clean_ctes(), RAS, f"""
+p AS (SELECT {FX.LAT_AXIS.sql_index('decimalLatitude')} AS ilat, {FX.LON_AXIS.sql_index('decimalLongitude')} AS ilon FROM clean
+      WHERE decimalLatitude IS NOT NULL AND decimalLongitude IS NOT NULL),
+c AS (SELECT 'raster' AS source, itime AS t, ilat, ilon FROM raster UNION ALL SELECT 'occurrences', 0, ilat, ilon FROM p),
+k AS (SELECT source, t, ilat, ilon, count(*) AS n FROM c GROUP BY ALL)""") + """
+SELECT source, CAST(sum(n) AS BIGINT) AS n_rows, count(DISTINCT t) * count(DISTINCT ilat) * count(DISTINCT ilon) AS n_cells,
+       count(*) FILTER (n > 1) AS n_repeated,
+       sum(n) = count(DISTINCT t) * count(DISTINCT ilat) * count(DISTINCT ilon) AND count(*) FILTER (n > 1) = 0 AS dense
+FROM k GROUP BY source""")
+def q_agg_cube_density(spark, sf_dir):
+    """Whether a table is a whole cube: the raster is, the occurrences' cells are not."""
+    spec = FX.raster_spec(spark, sf_dir)
+    o = C.clean_occurrences(FX.occ(spark, sf_dir)).filter("decimalLatitude IS NOT NULL AND decimalLongitude IS NOT NULL")
+    cells = R.snap_cells(o, spec).withColumn("t", F.lit(0))
+    a = R.density(FX.raster(spark, sf_dir), ["itime", "ilat", "ilon"]).withColumn("source", F.lit("raster"))
+    return a.unionByName(R.density(cells, ["t", "ilat", "ilon"]).withColumn("source", F.lit("occurrences")))
+
+
+@query("raster_sel_many", """
+WITH a AS (SELECT CAST(c_acctbal AS DOUBLE) AS v, min(c_custkey) AS i FROM customer GROUP BY 1),
+l AS (SELECT DISTINCT CAST(o_totalprice AS DOUBLE) / 40 - 1000 AS label FROM orders),
+n AS (SELECT l.label, d.v AS dv, d.i AS di, u.v AS uv, u.i AS ui
+      FROM l ASOF LEFT JOIN a d ON l.label >= d.v ASOF LEFT JOIN a u ON l.label <= u.v)
+SELECT label,
+  CASE WHEN uv IS NULL OR label - dv < uv - label OR (label - dv = uv - label AND di < ui) THEN di ELSE ui END AS i,
+  CASE WHEN uv IS NULL OR label - dv < uv - label OR (label - dv = uv - label AND di < ui) THEN dv ELSE uv END AS v
+FROM n""")
+def q_raster_sel_many(spark, sf_dir):
+    """Many labels on an unevenly spaced axis (the account balances)."""
+    axis = FX.read(spark, sf_dir, "customer").select(F.col("c_acctbal").cast("double").alias("v"), F.col("c_custkey").alias("i"))
+    labels = FX.read(spark, sf_dir, "orders").select((F.col("o_totalprice").cast("double") / 40 - 1000).alias("label"))
+    return R.nearest_on_axis(labels, "label", axis, "v", "i").select("label", "i", "v")
+
+
 @query("raster_seasonal_mean", with_(RAS, S.raster_clean_cte()) + f"""
 SELECT CASE {S.season('month(time)')} WHEN 0 THEN 'DJF' WHEN 1 THEN 'MAM' WHEN 2 THEN 'JJA' WHEN 3 THEN 'SON' END
          AS season,
@@ -298,15 +340,13 @@ def q_agg_extent(spark, sf_dir):
     o = occ.select(F.col("decimalLatitude").alias("lat"), F.col("decimalLongitude").alias("lon"),
                    F.to_date("datetime").alias("time"))
     a = R.raster_extent(o).withColumn("source", F.lit("occurrences"))
-    b = R.raster_extent(FX.raster(spark, sf_dir)).withColumn("source", F.lit("raster"))
+    b = R.axes_extent(FX.raster(spark, sf_dir)).withColumn("source", F.lit("raster"))
     return a.unionByName(b)
 
 
 @query("srt_latest_slice", with_(RAS, S.raster_clean_cte()) + """
 SELECT ilat, ilon, time, air_temperature FROM rc WHERE time = (SELECT max(time) FROM rc)""")
 def q_srt_latest_slice(spark, sf_dir):
-    """the latest time slice (max of the time axis, then a filter)."""
+    """the latest time slice (the last partition, then the last time in it)."""
     r, _ = clean_raster(spark, sf_dir)
-    latest = r.agg(F.max("time").alias("__t"))
-    return (r.join(F.broadcast(latest), F.col("time") == F.col("__t"))
-             .select("ilat", "ilon", "time", "air_temperature"))
+    return R.latest_slice(r).select("ilat", "ilon", "time", "air_temperature")

@@ -126,10 +126,10 @@ IMP = FX.IMPORTANCE_SQL
 @query("win_topn_per_model", with_(IMP) + """
 SELECT model, feature, round(importance, 6) AS importance, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY model ORDER BY importance DESC, feature) AS rank FROM importance)
-WHERE rank <= 3""")
+WHERE rank <= 10""")
 def q_win_topn_per_model(spark, sf_dir):
-    """Top-3 features per model."""
-    t = RP.topn_per_group(FX.importance(spark, sf_dir), "model", "importance", 3, "feature")
+    """Top-10 features per model."""
+    t = RP.topn_per_group(FX.importance(spark, sf_dir), "model", "importance", 10, "feature")
     return t.select("model", "feature", r6(F.col("importance")).alias("importance"), F.col("rank"))
 
 
@@ -172,14 +172,23 @@ def q_srt_nlargest(spark, sf_dir):
                     ["ord", "decimalLatitude", "decimalLongitude", "probability"])
 
 
-@query("set_model_compare", with_(IMP) + """
-SELECT model, feature, round(importance, 6) AS importance FROM (
-  SELECT *, row_number() OVER (PARTITION BY model ORDER BY importance DESC, feature) AS rk FROM importance)
-WHERE rk <= 2""")
+_WANTED = ("Brand#11", "Brand#12", "Brand#99", "Brand#55")   # no part has the third
+
+
+@query("set_model_compare", with_(IMP) + f"""
+SELECT model, feature, round(importance, 6) AS importance, false AS missing FROM (
+  SELECT *, row_number() OVER (PARTITION BY model ORDER BY importance DESC, feature) AS rk FROM importance
+  WHERE model IN {_WANTED})
+WHERE rk <= 10
+UNION ALL
+SELECT m, NULL, NULL, true FROM (SELECT unnest({list(_WANTED)}) AS m) WHERE m NOT IN (SELECT model FROM importance)""")
 def q_set_model_compare(spark, sf_dir):
-    """Concatenation of each model's top-2 features (by name)."""
-    t = RP.topn_per_group(FX.importance(spark, sf_dir), "model", "importance", 2, "feature")
-    return t.select("model", "feature", r6(F.col("importance")).alias("importance"))
+    """The top-10 features of the wanted models; models that are missing are skipped and named."""
+    i = FX.importance(spark, sf_dir)
+    t = RP.compare_models(i, _WANTED).select("model", "feature", r6(F.col("importance")).alias("importance"), F.lit(False).alias("missing"))
+    gone = RP.missing_models(i, _WANTED).select("model", F.lit(None).cast("string").alias("feature"),
+                                                F.lit(None).cast("double").alias("importance"), F.lit(True).alias("missing"))
+    return t.unionByName(gone)
 
 
 @query("set_importance_report", with_(IMP) + """
@@ -200,25 +209,33 @@ def q_set_importance_report(spark, sf_dir):
     return a.unionByName(b)
 
 
-@query("set_common_features", with_(IMP, """
+@query("set_common_features", """
+WITH importance AS (SELECT substr(p_brand, 1, 7) AS model, p_type AS feature, sum(p_retailprice) AS importance FROM part GROUP BY 1, 2),
 t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY model ORDER BY importance DESC, feature) AS rk
-                     FROM importance) WHERE rk <= 5)""") + """
+                     FROM importance) WHERE rk <= 5)
 SELECT feature FROM t GROUP BY feature HAVING count(DISTINCT model) = (SELECT count(DISTINCT model) FROM t)""")
 def q_set_common_features(spark, sf_dir):
-    """Features in every model's top-5."""
-    t = RP.topn_per_group(FX.importance(spark, sf_dir), "model", "importance", 5, "feature")
-    return RP.common_features(t)
-
-
-@query("set_identical", """
-SELECT true AS identical_same, false AS identical_shifted""")
+    """Features in every model's top-5 (groups of brands as models)."""
+    p = FX.read(spark, sf_dir, "part")
+    i = p.groupBy(F.substring("p_brand", 1, 7).alias("model"), F.col("p_type").alias("feature")).agg(F.sum("p_retailprice").alias("importance"))
+    return RP.common_features(RP.topn_per_group(i, "model", "importance", 5, "feature"))
+
+
+@query("set_identical", with_(IMP, """
+a AS (SELECT model, feature FROM importance WHERE importance > 0.01),
+b AS (SELECT model, feature FROM importance WHERE NOT importance <= 0.01),
+c AS (SELECT model, feature FROM importance WHERE importance > 0.012)""") + """
+SELECT (SELECT count(*) FROM ((SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a))) = 0
+         AS identical_same,
+       (SELECT count(*) FROM ((SELECT * FROM a EXCEPT ALL SELECT * FROM c) UNION ALL (SELECT * FROM c EXCEPT ALL SELECT * FROM a))) = 0
+         AS identical_shifted""")
 def q_set_identical(spark, sf_dir):
-    """Frame equality by exceptAll both ways (a recomputation is
-    identical; a shifted copy is not)."""
+    """Frame equality by exceptAll both ways (the same rows found another
+    way are identical; a stricter cut is not)."""
     from habiflow.sources import identical
-    a = FX.importance(spark, sf_dir)
-    b = FX.importance(spark, sf_dir)
-    c = a.withColumn("importance", F.col("importance") + 1e-5)
+    i = FX.importance(spark, sf_dir)
+    cut = lambda c: i.filter(c).select("model", "feature")
+    a, b, c = cut("importance > 0.01"), cut("NOT importance <= 0.01"), cut("importance > 0.012")
     return identical(a, b).withColumnRenamed("identical", "identical_same").crossJoin(
         identical(a, c).withColumnRenamed("identical", "identical_shifted"))
 
@@ -235,6 +252,55 @@ def q_agg_latest_run_by_name(spark, sf_dir):
     return RP.latest_by(FX.runs(spark, sf_dir), "model_name", "ts", "version_id")
 
 
+_IDS = "SELECT DISTINCT c_custkey * 2 AS version_id FROM customer"
+
+
+@query("agg_run_by_id", with_(RUNS) + f"""
+SELECT i.version_id, model_name, ts, accuracy, train_size, r.version_id IS NOT NULL AS found
+FROM ({_IDS}) i LEFT JOIN runs r USING (version_id)""")
+def q_agg_run_by_id(spark, sf_dir):
+    """Runs by id; ids without a run say so."""
+    ids = FX.read(spark, sf_dir, "customer").select((F.col("c_custkey") * 2).alias("version_id"))
+    return RP.runs_by_id(FX.runs(spark, sf_dir), ids)
+
+
+@query("agg_run_metrics", with_(RUNS) + f"""
+, w AS (SELECT r.* FROM runs r WHERE version_id IN ({_IDS}))
+SELECT version_id, 'accuracy' AS metric, accuracy AS value FROM w
+UNION ALL SELECT version_id, 'train_size', CAST(train_size AS DOUBLE) FROM w
+UNION ALL SELECT version_id, 'presence.recall', accuracy / 2 FROM w
+UNION ALL SELECT version_id, 'presence.support', CAST(train_size AS DOUBLE) FROM w""")
+def q_agg_run_metrics(spark, sf_dir):
+    """The metrics of runs by id, from nested documents."""
+    r = FX.runs(spark, sf_dir)
+    doc = F.to_json(F.struct("accuracy", "train_size", F.struct((F.col("accuracy") / 2).alias("recall"),
+                                                                F.col("train_size").alias("support")).alias("presence")))
+    ids = FX.read(spark, sf_dir, "customer").select((F.col("c_custkey") * 2).alias("version_id"))
+    return RP.metrics_by_id(r.select("version_id", doc.alias("metrics")), ids)
+
+
+def _pointers(spark, sf_dir):
+    """A "current" pointer is set by every order of status F, to the run of twice its key: not all of these exist."""
+    o = FX.read(spark, sf_dir, "orders").filter("o_orderstatus = 'F'")
+    return o.select(F.col("o_orderpriority").alias("model_name"), (F.col("o_orderkey") * 2).alias("version_id"),
+                    F.col("o_orderdate").cast("timestamp").alias("set_at"))
+
+
+@query("agg_current_run", with_(RUNS) + """
+, p AS (SELECT o_orderpriority AS model_name, o_orderkey * 2 AS version_id, CAST(o_orderdate AS TIMESTAMP) AS set_at
+        FROM orders WHERE o_orderstatus = 'F'),
+l AS (SELECT 'now' AS as_of, model_name, max((set_at, version_id)) AS x FROM p GROUP BY model_name
+      UNION ALL
+      SELECT '1998-06-30', model_name, max((set_at, version_id)) FROM p WHERE set_at <= TIMESTAMP '1998-06-30' GROUP BY model_name)
+SELECT as_of, l.model_name, x[2] AS version_id, x[1] AS set_at, r.accuracy, r.train_size
+FROM l LEFT JOIN runs r ON r.version_id = x[2]""")
+def q_agg_current_run(spark, sf_dir):
+    """The current run of each model, now and as of an earlier day."""
+    r, p = FX.runs(spark, sf_dir), _pointers(spark, sf_dir)
+    parts = [RP.current_runs(r, p, day).withColumn("as_of", F.lit(day or "now")) for day in (None, "1998-06-30")]
+    return parts[0].unionByName(parts[1]).select("as_of", "model_name", "version_id", "set_at", "accuracy", "train_size")
+
+
 @query("agg_compare_runs", with_(RUNS) + """
 SELECT model_name, count(*) AS n_runs,
        arg_max(version_id, (ts, version_id)) AS latest_version, arg_max(accuracy, (ts, version_id)) AS latest_accuracy,
