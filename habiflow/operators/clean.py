@@ -7,6 +7,7 @@ All functions are narrow transformations (no shuffle) except
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +49,26 @@ def select_available(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select(*[c for c in wanted if c in df.columns])
 
 
+# --- fixed values that must equal the reference's (do not edit) ----------
+MODELING_ESSENTIAL = ("decimalLatitude", "decimalLongitude", "year", "month", "day", "datetime", "occurrence", "season_num")
+MODELING_ENVIRONMENT = ("elevation", "soil_ph", "gridmet_lat", "gridmet_lon", "gridmet_date")
+# --------------------------------------------------------------------------
+
+
+def modeling_columns(df: DataFrame, variables: Sequence[str], target: str = "occurrence") -> tuple[DataFrame, list[str]]:
+    """Essential, environmental and climate columns that are there, and the essential ones that are not.
+
+    Missing essential columns are also a warning; without the target there is
+    nothing to train on, which is an error.
+    """
+    missing = [c for c in MODELING_ESSENTIAL if c not in df.columns]
+    if target in missing:
+        raise ValueError(f"no target column {target}")
+    if missing:
+        warnings.warn(f"Missing essential columns: {missing}", stacklevel=2)
+    return select_available(df, [*MODELING_ESSENTIAL, *MODELING_ENVIRONMENT, *variables]), missing
+
+
 def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Lenient drop-list projection (B17): absent names are ignored."""
     return df.drop(*cols)

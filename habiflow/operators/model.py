@@ -9,17 +9,22 @@ reference are re-aimed at their Spark ML counterparts.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from habiflow import functions as H
+from habiflow.operators.sampling import bucket_rank
+from habiflow.session import cut_lineage
+
 # --- fixed values that must equal the reference's (do not edit) ----------
 NB_ALPHA = 10.0
 GBT_STEP = 0.5
@@ -183,13 +188,101 @@ def evaluate(pred: DataFrame, label: str = "occurrence") -> dict:
     return {"accuracy": float(r["a"]) if r["a"] is not None else None}
 
 
-def cross_validate(pipe: Pipeline, df: DataFrame, label: str = "occurrence", fold_col: str = "fold",
-                   grid=None, parallelism: int = 2) -> tuple:
-    """CrossValidator over precomputed stratified folds (``foldCol``)."""
-    est = pipe.getStages()[-1]
-    grid = grid if grid is not None else ParamGridBuilder().build()
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName="areaUnderROC")
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, numFolds=CV_FOLDS,
-                        foldCol=fold_col, parallelism=parallelism, seed=42)
-    m = cv.fit(df)
-    return m, list(m.avgMetrics), est
+# ------------------------------------------------- folds, curves, grids ----
+
+CURVE_STEPS = 10   # training sizes of a learning curve: tenths of a fold's training rows
+SIDE_BY_SIDE = 4   # fits that run at a time; each is a distributed job of its own
+
+
+def _each(spark: SparkSession, fits: Sequence, run) -> list:
+    """``run`` of every element, some at a time, in the order given; driver threads only submit Spark jobs."""
+    with ThreadPool(SIDE_BY_SIDE) as pool:
+        return pool.map(inheritable_thread_target(spark)(run), list(fits))
+
+
+def out_of_fold(df: DataFrame, pipes: dict[str, Pipeline], key: str, label: str = "occurrence", fold: str = "fold",
+                folds: int = CV_FOLDS) -> DataFrame:
+    """K7: one table ``model, fold, part, key, label, prediction, probability``.
+
+    For every model and fold, fitted on the rows of the other folds, the
+    predictions of all rows: ``part`` is 'test' for the rows of the fold and
+    'train' for the others.
+    """
+    def one(what: tuple[str, int]) -> DataFrame:
+        name, k = what
+        fitted = pipes[name].fit(df.filter(F.col(fold) != k))
+        part = F.when(F.col(fold) == k, "test").otherwise("train")
+        return (score(fitted, df, [key, label, fold])
+                .select(F.lit(name).alias("model"), F.lit(k).alias("fold"), part.alias("part"), key, label, "prediction", "probability"))
+
+    return reduce(DataFrame.unionByName, _each(df.sparkSession, [(n, k) for n in pipes for k in range(folds)], one))
+
+
+def fold_scores(oof: DataFrame, label: str = "occurrence") -> DataFrame:
+    """K7: sizes, accuracies and train-test gap of every model and fold, in one aggregation."""
+    hit = (F.col(label) == F.col("prediction")).cast("double")
+    of = lambda part, x: F.when(F.col("part") == part, x)
+    return (oof.groupBy("model", "fold").agg(
+        F.count(of("train", F.lit(1))).alias("n_train"), F.count(of("test", F.lit(1))).alias("n_test"),
+        F.avg(of("train", hit)).alias("train_accuracy"), F.avg(of("test", hit)).alias("test_accuracy"))
+        .withColumn("gap", F.col("train_accuracy") - F.col("test_accuracy")))
+
+
+def model_scores(scores: DataFrame) -> DataFrame:
+    """K7/K9: mean test accuracy +- 2 std over the folds, mean gap and its verdict for each model."""
+    m, s, gap = F.avg("test_accuracy"), F.stddev_pop("test_accuracy"), F.avg("gap")
+    return scores.groupBy("model").agg(
+        F.count(F.lit(1)).alias("folds"), m.alias("cv_mean"), s.alias("cv_std"), (m - 2 * s).alias("cv_low"), (m + 2 * s).alias("cv_high"),
+        F.avg("train_accuracy").alias("train_accuracy"), gap.alias("gap"),
+        F.when(gap > GAP_LIMIT, "overfitting").otherwise("ok").alias("gap_verdict"),
+        F.when(s > CV_STD_LIMIT, "unstable").otherwise("stable").alias("cv_verdict"))
+
+
+def curve_rows(df: DataFrame, key: str, fold: str = "fold", folds: int = CV_FOLDS, steps: int = CURVE_STEPS) -> DataFrame:
+    """K8: a copy of each row for every fold ``held`` that it isn't in, with ``step``: the first of ``steps``
+    nested training sets of that fold that it belongs to.
+
+    The sets of a fold are the first floor(n * step / steps) of its n training
+    rows by hash rank, so each holds all smaller ones.
+    """
+    others = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda k: k != F.col(fold))
+    x = df.select("*", F.explode(others).alias("held")).withColumn("__u", H.uniform("curve", key))
+    r = bucket_rank(x, "__u", key, by=["held"])
+    ends = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda s: F.floor(F.col("group_n") * s / steps))
+    first = F.size(F.filter(ends, lambda e: e <= F.col("rank"))) + 1
+    return r.withColumn("step", first).drop("__u", "rank", "group_n")
+
+
+def learning_curve(df: DataFrame, pipe: Pipeline, key: str, label: str = "occurrence", fold: str = "fold",
+                   folds: int = CV_FOLDS, steps: int = CURVE_STEPS) -> DataFrame:
+    """K8: ``step, n_train, train_mean, train_std, test_mean, test_std`` over the folds; ``n_train`` is their mean."""
+    rows = cut_lineage(curve_rows(df, key, fold, folds, steps))
+
+    def one(what: tuple[int, int]) -> DataFrame:
+        k, step = what
+        train = rows.filter((F.col("held") == k) & (F.col("step") <= step)).drop("held", "step")
+        fitted = pipe.fit(train)
+        both = train.select(*df.columns, F.lit("train").alias("part")).unionByName(
+            df.filter(F.col(fold) == k).withColumn("part", F.lit("test")))
+        hit = (F.col(label) == F.col("prediction")).cast("double")
+        return (score(fitted, both, [label, "part"]).groupBy("part").agg(F.avg(hit).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+                .withColumns({"fold": F.lit(k), "step": F.lit(step)}))
+
+    each = reduce(DataFrame.unionByName, _each(df.sparkSession, [(k, s) for k in range(folds) for s in range(1, steps + 1)], lambda w: cut_lineage(one(w))))
+    acc = {p: F.when(F.col("part") == p, F.col("accuracy")) for p in ("train", "test")}
+    return each.groupBy("step").agg(
+        F.avg(F.when(F.col("part") == "train", F.col("n"))).alias("n_train"),
+        *[f(acc[p]).alias(f"{p}_{n}") for p in ("train", "test") for n, f in (("mean", F.avg), ("std", F.stddev_pop))])
+
+
+def save_model(model: PipelineModel, features: Sequence[str], path: str) -> None:
+    """A fitted model and the list of its features."""
+    model.write().overwrite().save(f"{path}/model")
+    (SparkSession.getActiveSession().createDataFrame([(i, f) for i, f in enumerate(features)], "place int, feature string")
+     .coalesce(1).write.mode("overwrite").json(f"{path}/features"))
+
+
+def load_model(spark, path: str) -> tuple[PipelineModel, list[str]]:
+    """What :func:`save_model` wrote."""
+    rows = spark.read.schema("place int, feature string").json(f"{path}/features").orderBy("place").collect()  # a row a feature
+    return PipelineModel.load(f"{path}/model"), [r["feature"] for r in rows]

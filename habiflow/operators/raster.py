@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from habiflow import functions as H
 
 SECONDS_PER_DAY = 86400
+MANY_BLOCKS = 500   # time blocks that a filter lists one by one
 
 
 @dataclass(frozen=True)
@@ -173,10 +174,15 @@ def nearest_cell_join(points: DataFrame, raster: DataFrame, spec: RasterSpec,
     keys = ["__itime", "__ilat", "__ilon"]
     if "tblock" in raster.columns:
         # only the time blocks some point falls into are read: a filter on the
-        # partition column; its values are at most the blocks of the time axis
+        # partition column, by their list or, of a long axis, by their range
         if not points.isStreaming:
-            hit = keyed.select((F.col("__itime") / spec.time_block).cast("int").alias("b")).distinct().collect()
-            cells = cells.filter(F.col("tblock").isin(sorted(r["b"] for r in hit if r["b"] is not None)))
+            hit = keyed.select((F.col("__itime") / spec.time_block).cast("int").alias("b")).filter("b IS NOT NULL").distinct()
+            blocks = sorted(r["b"] for r in hit.limit(MANY_BLOCKS + 1).collect())
+            if len(blocks) > MANY_BLOCKS:
+                ends = keyed.agg(F.min("__itime").alias("lo"), F.max("__itime").alias("hi")).first()
+                cells = cells.filter(F.col("tblock").between(ends["lo"] // spec.time_block, ends["hi"] // spec.time_block))
+            else:
+                cells = cells.filter(F.col("tblock").isin(blocks))
         cells = cells.drop("tblock")
     # drop input columns that the join would duplicate (re-enrichment)
     clash = [c for c in vars_ + [f"{prefix}lat", f"{prefix}lon", f"{prefix}date"] if c in points.columns]

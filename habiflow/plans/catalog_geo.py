@@ -202,20 +202,37 @@ def q_src_json_map_explode(spark, sf_dir):
     return SRC.manual_geocode_map(FX.manual_json(spark, sf_dir))
 
 
-@query("src_points_from_array", with_(FX.SCORED_SQL, """
+_LISTS_SQL = """
 arr AS (SELECT ord, [decimalLatitude, decimalLongitude, round(decimalLatitude + 0.5, 6), round(decimalLongitude - 0.5, 6)]
-               || CASE WHEN ord % 2 = 0 THEN [round(decimalLatitude - 0.25, 6)] ELSE [] END AS coords FROM scored)""") + """
-SELECT ord, CAST(i AS INTEGER) AS point_idx, coords[2 * i + 1] AS lat, coords[2 * i + 2] AS lon
-FROM arr, range(0, CAST(floor(len(coords) / 2) AS BIGINT)) t(i)""")
-def q_src_points_from_array(spark, sf_dir):
-    """Flat coordinate arrays -> points (a trailing odd element is reported
-    by :func:`habiflow.sources.odd_length_rows`, not turned into a point)."""
+               || CASE WHEN ord % 2 = 0 THEN [round(decimalLatitude - 0.25, 6)] ELSE [] END AS coords FROM scored)"""
+
+
+def _lists(spark, sf_dir):
+    """A flat coordinate list a row; every second one has an odd length."""
     s = FX.scored(spark, sf_dir)
     arr = F.concat(F.array("decimalLatitude", "decimalLongitude",
                            F.round(F.col("decimalLatitude") + 0.5, 6), F.round(F.col("decimalLongitude") - 0.5, 6)),
                    F.when(F.col("ord") % 2 == 0, F.array(F.round(F.col("decimalLatitude") - 0.25, 6)))
                     .otherwise(F.array().cast("array<double>")))
-    return SRC.points_from_array(s.select("ord", arr.alias("coords")), "coords", "ord")
+    return s.select("ord", arr.alias("coords"))
+
+
+@query("src_points_from_array", with_(FX.SCORED_SQL, _LISTS_SQL) + """
+SELECT ord, CAST(i AS INTEGER) AS point_idx, coords[2 * i + 1] AS lat, coords[2 * i + 2] AS lon
+FROM (SELECT ord, CASE WHEN ord % 2 = 0 THEN coords[1:4] ELSE coords END AS coords FROM arr),
+     range(0, CAST(len(coords) / 2 AS BIGINT)) t(i)""")
+def q_src_points_from_array(spark, sf_dir):
+    """Flat coordinate lists -> points; lists of odd length are an error, so theirs are repaired first."""
+    a = _lists(spark, sf_dir)
+    whole = a.withColumn("coords", F.slice("coords", 1, F.when(F.col("ord") % 2 == 0, 4).otherwise(F.size("coords"))))
+    return SRC.points_from_array(whole, "coords", "ord")
+
+
+@query("src_odd_lists", with_(FX.SCORED_SQL, _LISTS_SQL) + """
+SELECT ord, CAST(len(coords) AS INTEGER) AS n FROM arr WHERE len(coords) % 2 = 1""")
+def q_src_odd_lists(spark, sf_dir):
+    """The lists that :func:`habiflow.sources.points_from_array` refuses."""
+    return SRC.odd_length_rows(_lists(spark, sf_dir), "coords").select("ord", F.size("coords").alias("n"))
 
 
 @query("src_bbox_grid", with_(OCC, S.clean_ctes(), """

@@ -3,23 +3,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from habiflow import functions as H
 from habiflow import sources as SRC
 from habiflow.operators import clean as C
-from habiflow.operators import enrich as EN
 from habiflow.operators import geocode as G
+from habiflow.operators import jobs as JOBS
 from habiflow.operators import model as M
-from habiflow.operators import quality as Q
 from habiflow.operators import raster as R
-from habiflow.operators import reports as RP
 from habiflow.plans import fixtures as FX
 from habiflow.plans import sqlparts as S
-from habiflow.plans.catalog_geo import GEO_SQL, _cands_sql
+from habiflow.plans.catalog_geo import GEO_SQL, _cands_sql, _soil_sql
+from habiflow.plans.catalog_sampling import PRES_SQL, PSEUDO_SELECT, _pseudo_sql
 from habiflow.plans.fixtures import with_
 from habiflow.plans.registry import query
 from habiflow.plans.training import FEATURES, training_set
+from habiflow.session import stage_path
 
 OCC = FX.OCC_SQL
 VARS = FX.CLIMATE_VARS
@@ -115,45 +117,82 @@ def q_job_notebook_chain(spark, sf_dir):
     return j.select("ord", "gbifID", "gridmet_lat", "gridmet_lon", "gridmet_date", *VARS)
 
 
+_U_SQL = f"""
+u AS (SELECT 'p' || CAST(gbifID AS VARCHAR) AS row_key, 1 AS occurrence, decimalLatitude, decimalLongitude, geocode_pos, datetime, year,
+             month, day, elevation FROM pres
+      UNION ALL
+      SELECT 'a' || CAST(attempt AS VARCHAR), 0, decimalLatitude, decimalLongitude, NULL, datetime, year, month, day, NULL
+      FROM ({PSEUDO_SELECT}))"""
+
+
+def _table_sql() -> str:
+    # the pseudo-absence CTEs, with geocoded presences in place of the cleaned ones
+    pseudo = _pseudo_sql()
+    head, tail = pseudo.split(PRES_SQL.strip(), 1)
+    pres = f"""
+tr_in AS (SELECT *, NULL::VARCHAR AS landmark FROM clean),
+{_cands_sql("tr_in").strip()},
+{_b12_sql("geo").strip()},
+tr_m AS ({_MANUAL_JOIN.format(src="b12")}),
+pres AS (SELECT * FROM tr_m WHERE decimalLatitude IS NOT NULL AND decimalLongitude IS NOT NULL)"""
+    ctes = ",\n".join(x.strip() for x in (FX.RASTER_SQL, FX.GAZETTEER_SQL, FX.MANUAL_SQL, FX.ELEV_SQL, FX.SOIL_SQL))
+    la, lo = FX.LAT_AXIS, FX.LON_AXIS
+    return (head + ctes + "," + pres + tail.rstrip() + "," + _U_SQL + "," + S.nearest_join_ctes("u") + f""",
+t AS (SELECT j.* REPLACE (coalesce(j.elevation, e.elevation) AS elevation), {_soil_sql('s.body')} AS soil_ph
+      FROM joined j LEFT JOIN elev e ON e.ilat = {la.sql_index('j.decimalLatitude')} AND e.ilon = {lo.sql_index('j.decimalLongitude')}
+      LEFT JOIN soil s ON s.ilat = {la.sql_index('j.decimalLatitude')} AND s.ilon = {lo.sql_index('j.decimalLongitude')})
+""")
+
+
+@query("job_train_table", _table_sql() + """
+SELECT row_key, occurrence, geocode_pos, decimalLatitude, decimalLongitude, gridmet_lat, gridmet_lon, gridmet_date, year, month, day,
+       elevation, soil_ph, air_temperature, wind_speed
+FROM t WHERE elevation IS NOT NULL AND soil_ph IS NOT NULL""")
+def q_job_train_table(spark, sf_dir):
+    """L3: the table that the train job fits on: cleaned, geocoded, with absences and everything looked up."""
+    return training_set(spark, sf_dir).select(
+        "row_key", "occurrence", "geocode_pos", "decimalLatitude", "decimalLongitude", "gridmet_lat", "gridmet_lon", "gridmet_date", "year",
+        "month", "day", "elevation", "soil_ph", "air_temperature", "wind_speed")
+
+
 @query("job_train")
 def q_job_train(spark, sf_dir):
-    """L3: training table (clean -> absences -> raster/elevation/soil, labels
-    kept) -> validation -> forest fit -> one run-metadata row: accuracy,
-    sizes, label counts, data fingerprint and top features."""
-    t = training_set(spark, sf_dir)
-    train, test = t.filter(~F.col("is_test")), t.filter(F.col("is_test"))
-    model = M.random_forest(FEATURES, "occurrence", trees=100, depth=6).fit(train)
-    pred = M.score(model, test, ["row_key", "occurrence"])
-    acc = RP.accuracy(pred, "occurrence", "prediction")
-    sizes = t.agg(F.count_if(~F.col("is_test")).alias("n_train"), F.count_if("is_test").alias("n_test"),
-                  F.count_if(F.col("occurrence") == 1).alias("n_presence"),
-                  F.count_if(F.col("occurrence") == 0).alias("n_absence"))
-    verdict = Q.validation_verdict(Q.validation_report(t, temporal_required=False))
-    fp = Q.fingerprint(t.select("row_key", "occurrence"))
-    imp = (M.importances(model, FEATURES, spark).orderBy(F.col("importance").desc(), "feature").limit(3)
-           .agg(F.collect_list("feature").alias("top_features")))
-    return (acc.select(F.lit("random_forest").alias("model_type"), "accuracy").crossJoin(sizes)
-            .crossJoin(verdict.select("passed")).crossJoin(fp.select("fingerprint")).crossJoin(imp))
+    """L3: clean -> geocode -> absences -> raster, elevation, soil -> validation
+    -> processed and enriched tables written -> forest -> model and importance
+    report written -> one run-metadata row."""
+    return JOBS.train(spark, training_set(spark, sf_dir), FEATURES, FX.CLIMATE_VARS, stage_path(spark, f"runs/{uuid.uuid4().hex}"))
+
+
+def _score_points(spark, sf_dir):
+    s = FX.scored(spark, sf_dir)
+    arr = s.select("ord", F.array("decimalLatitude", "decimalLongitude").alias("coords"))
+    pts = SRC.points_from_array(arr, "coords", "ord", strict=True)
+    return pts.select("ord", F.col("lat").alias("decimalLatitude"), F.col("lon").alias("decimalLongitude"))
+
+
+def _score_features(spark, sf_dir):
+    return JOBS.score_features(_score_points(spark, sf_dir), FX.raster(spark, sf_dir), FX.raster_spec(spark, sf_dir), FX.elev(spark), FX.soil(spark),
+                               FEATURES, "2005-07-01")
+
+
+@query("job_score_features", with_(FX.SCORED_SQL, FX.RASTER_SQL, FX.ELEV_SQL, FX.SOIL_SQL,
+                                   S.nearest_join_ctes("scored", target_date="2005-07-01")) + f"""
+SELECT j.ord, j.gridmet_date, CAST(year(j.gridmet_date) AS DOUBLE) AS year, CAST(month(j.gridmet_date) AS DOUBLE) AS month,
+       {S.season('month(j.gridmet_date)')} AS season_num, coalesce(e.elevation, 0) AS elevation,
+       coalesce({_soil_sql('s.body')}, 0) AS soil_ph, j.air_temperature, j.wind_speed
+FROM joined j LEFT JOIN elev e ON e.ilat = {FX.LAT_AXIS.sql_index('j.decimalLatitude')} AND e.ilon = {FX.LON_AXIS.sql_index('j.decimalLongitude')}
+LEFT JOIN soil s ON s.ilat = {FX.LAT_AXIS.sql_index('j.decimalLatitude')} AND s.ilon = {FX.LON_AXIS.sql_index('j.decimalLongitude')}""")
+def q_job_score_features(spark, sf_dir):
+    """L4 up to the model: checked points with climate at the target date, elevation, soil, date parts and season."""
+    return _score_features(spark, sf_dir).select("ord", "gridmet_date", "year", "month", "season_num", "elevation", "soil_ph",
+                                                 "air_temperature", "wind_speed")
 
 
 @query("job_score")
 def q_job_score(spark, sf_dir):
-    """L4: coordinate arrays -> points -> validation -> raster at a target
-    date (clamped) -> elevation, soil -> date parts and season -> feature
-    gate + zero fill -> forest score -> summary row (D11)."""
+    """L4: coordinate lists -> points -> validation -> features -> forest ->
+    predictions, summary, top predictions, confidence bins, histogram, map
+    centre and markers written -> the summary row."""
     t = training_set(spark, sf_dir)
     model = M.random_forest(FEATURES, "occurrence", trees=100, depth=6).fit(t.filter(~F.col("is_test")))
-    s = FX.scored(spark, sf_dir)
-    arr = s.select("ord", F.array("decimalLatitude", "decimalLongitude").alias("coords"))
-    pts = SRC.points_from_array(arr, "coords", "ord", strict=True).select(
-        "ord", F.col("lat").alias("decimalLatitude"), F.col("lon").alias("decimalLongitude"))
-    spec = FX.raster_spec(spark, sf_dir)
-    g = R.nearest_cell_join(pts, FX.raster(spark, sf_dir), spec, target_date="2005-07-01")
-    g = EN.fill_elevation(g, FX.elev(spark), spec)
-    g = EN.fill_soil_ph(g, FX.soil(spark), spec)
-    g = g.withColumn("year", F.year("gridmet_date").cast("double"))
-    g = g.withColumn("month", F.month("gridmet_date").cast("double")).withColumn("season_num", H.season_num("month"))
-    M.require_features(g, FEATURES)
-    g = C.fill_zero(g, FEATURES)
-    scored = M.score(model, g, ["ord", "decimalLatitude", "decimalLongitude"])
-    return RP.scoring_summary(scored, 0.8)
+    return JOBS.score(spark, model, _score_features(spark, sf_dir), stage_path(spark, f"runs/{uuid.uuid4().hex}"))

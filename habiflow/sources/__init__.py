@@ -140,11 +140,11 @@ def manual_geocode_map(docs: DataFrame, body_col: str = "body") -> DataFrame:
                 .select("place", F.col("coord.lat").alias("lat"), F.col("coord.lon").alias("lon")))
 
 
-def points_from_array(df: DataFrame, arr_col: str, key: str, strict: bool = False) -> DataFrame:
+def points_from_array(df: DataFrame, arr_col: str, key: str, strict: bool = True) -> DataFrame:
     """Flat [lat1, lon1, lat2, lon2, ...] arrays -> one row per point.
 
-    With ``strict`` an odd-length array raises an error; otherwise its last
-    value is left out and :func:`odd_length_rows` lists the row.
+    An odd-length array is an error; without ``strict`` its last value is left
+    out and :func:`odd_length_rows` lists the row.
     """
     n = F.size(F.col(arr_col))
     if strict:
