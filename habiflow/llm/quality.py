@@ -37,19 +37,19 @@ class Rule:
         return F.expr(f"CASE WHEN {self.bad} THEN 0 WHEN {self.good} THEN 1 END").cast("int").alias(self.name)
 
 
-# a rule that looks for a defect says nothing of texts without it
-NEVER = "false"
+# Bounds differ by about a factor of five between the votes; what lies between abstains.
 RULES = (
-    Rule("v_length", "n_words < 20", "n_words >= 50"),
-    Rule("v_sentences", "n_words >= 50 and n_stops * 200 < n_words", "n_words >= 20 and n_stops * 40 >= n_words"),
-    Rule("v_symbols", "n_symbols > 0.1 * n_words", NEVER),
-    Rule("v_dup_lines", "n_dup_lines > 1 and n_dup_lines > 0.3 * n_lines", NEVER),
-    Rule("v_repeats", "n_repeat_words > 0.25 * n_words", NEVER),
-    Rule("v_stutter", "n_stutters > 0.2 * n_words", NEVER),
-    Rule("v_word_length", "word_chars < 2.5 * n_words or word_chars > 14 * n_words", NEVER),
-    Rule("v_capitals", "n_capitals > 0.3 * word_chars", NEVER),
-    Rule("v_shouts", "n_shouts > 0.1 * n_words", NEVER),
-    Rule("v_digits", "n_digits > 0.2 * word_chars", NEVER),
+    Rule("v_length", "n_words < 40", "n_words >= 100"),
+    Rule("v_sentences", "n_stops * 50 < n_words", "n_stops * 30 >= n_words"),
+    Rule("v_symbols", "n_symbols * 10 > n_words", "n_symbols * 100 <= n_words"),
+    Rule("v_symbol_share", "n_symbols * 50 > word_chars", "n_symbols * 500 <= word_chars"),
+    Rule("v_word_length", "word_chars * 2 < 7 * n_words or word_chars * 2 > 13 * n_words", "word_chars >= 4 * n_words and word_chars <= 6 * n_words"),
+    Rule("v_dup_lines", "n_dup_lines > 1 and n_dup_lines * 5 > n_lines", "n_lines >= 3 and n_dup_lines = 0"),
+    Rule("v_repeats", "n_repeat_words * 10 > n_words", "n_repeat_words * 50 <= n_words"),
+    Rule("v_stutter", "n_stutters * 20 > n_words", "n_stutters * 50 <= n_words"),
+    Rule("v_capitals", "n_capitals * 10 > 3 * word_chars", "n_capitals * 20 <= 3 * word_chars"),
+    Rule("v_shouts", "n_shouts * 10 > n_words", "n_shouts * 100 <= n_words"),
+    Rule("v_digits", "n_digits * 5 > word_chars", "n_digits * 50 <= word_chars"),
 )
 
 
@@ -120,15 +120,14 @@ class LabelModel:
     def posterior(self, rules: tuple[Rule, ...]) -> Column:
         z = F.lit(math.log(self.prior / (1 - self.prior)))
         for r, g, b in zip(rules, self.on_good, self.on_bad):
-            z = z + (F.when(F.col(r.name) == 1, F.lit(math.log(g[1] / b[1]) if b[1] else 0.0))
+            z = z + (F.when(F.col(r.name) == 1, F.lit(math.log(g[1] / b[1])))
                      .when(F.col(r.name) == 0, F.lit(math.log(g[0] / b[0])))
                      .otherwise(F.lit(math.log((1 - sum(g)) / (1 - sum(b))))))
         return 1.0 / (1.0 + F.exp(-z))
 
 
-# starting point: a bad vote is rare on good documents, a good vote says little
-START = LabelModel(0.9, tuple((0.002, 0.0 if r.good == NEVER else 0.8) for r in RULES),
-                   tuple((0.3, 0.0 if r.good == NEVER else 0.5) for r in RULES))
+# Where EM starts, and what its pseudo-documents vote: most documents are good, bad votes are rarer on them.
+START = LabelModel(0.9, tuple((0.02, 0.8) for _ in RULES), tuple((0.3, 0.5) for _ in RULES))
 
 
 def rates(bad: float, good: float) -> tuple[float, float]:
@@ -138,18 +137,19 @@ def rates(bad: float, good: float) -> tuple[float, float]:
     return round(bad * shrink, 6), round(good * shrink, 6)
 
 
-def fit_label_model(votes: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 25,
-                    start: LabelModel = START, strength: float = 20.0,
-                    false_alarms: float = 0.002) -> LabelModel:
+def fit_label_model(votes: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: int = 50,
+                    start: LabelModel | None = None, strength: float = 20.0) -> LabelModel:
     """EM over the counts of vote patterns of all rows of ``votes``.
 
-    ``strength`` pseudo-documents of either class vote as ``start`` says, which
-    keeps rules with few votes near it.  What a rule is trusted with bounds the
-    estimates and fixes which class is the good one: on good documents it votes
-    bad at a rate of ``false_alarms`` at most, and its good vote is never a sign
-    of a bad document.  Estimates are rounded to six places each
-    round, so the order of summation does not show.
+    All rates are estimated: a rule that often votes bad beside nine good votes
+    comes out as noisy, one that others agree with as sure.  ``strength``
+    pseudo-documents of either class vote as ``start`` says, which keeps rules
+    with few votes near it.  Which class is the good one is fixed by one bound:
+    a rule votes bad no more often on good documents than on bad ones.
+    Estimates are rounded to six places each round, so the order of summation
+    does not show.
     """
+    start = start or LabelModel(START.prior, START.on_good[:1] * len(rules), START.on_bad[:1] * len(rules))
     names = [r.name for r in rules]
     patterns = cut_lineage(votes.groupBy(*names).agg(F.count("*").alias("_n")).coalesce(1))
     m = start
@@ -169,8 +169,7 @@ def fit_label_model(votes: DataFrame, rules: tuple[Rule, ...] = RULES, rounds: i
         for j in range(len(names)):
             g0, g1 = (share("good", j, k, start.on_good[j][k]) for k in (0, 1))
             b0, b1 = (share("bad", j, k, start.on_bad[j][k]) for k in (0, 1))
-            g0, b1 = min(g0, b0, false_alarms), min(b1, g1)
-            on_good.append(rates(g0, g1))
+            on_good.append(rates(min(g0, b0), g1))
             on_bad.append(rates(b0, b1))
         n = s["good"] + s["bad"]
         new = LabelModel(round((s["good"] + strength * start.prior) / (n + strength), 6),
