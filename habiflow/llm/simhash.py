@@ -2,18 +2,20 @@
 
 A fingerprint of 64 bits is eight positional bytes.  Two fingerprints that
 differ in at most four bits differ in at most four bytes, so at least four
-positional bytes agree.  The index posts each distinct fingerprint under every
-choice of four positions with the bytes there: a posting list holds what a
-merge of four one-byte lists would leave (a list of one byte alone holds 1/256
-of all fingerprints, and tallying its pairs grows with the square).  Within a
-posting list the shared positional bytes of a pair are tallied, pairs with
-fewer than four are dropped, the rest verified by their bit distance.
-
-Groups of copies: equal fingerprints are one index entry.  A long posting list
-is cut into blocks by hash and every pair of blocks is its own task, so no
-task gathers a list; each task reports a spanning forest of the links it
-finds, not the pairs, which keeps the components and bounds the output by the
-entries read.
+positional bytes agree.  The index posts fingerprints by position and byte.
+Under one order of all positional bytes, the rarest first, two fingerprints
+that share four of eight share one of the five rarest of each, so five postings
+a fingerprint find every pair and keep the commonest bytes' lists, which would
+be longest, from being paired.  Within a posting list the shared positional
+bytes of a pair are tallied over all eight positions; pairs that reach the
+guaranteed minimum are verified by their bit distance.
+
+Groups of copies: equal fingerprints are one index entry.  A posting list is
+cut into blocks by hash and every pair of blocks is its own task, so no task
+gathers a list; each task reports a spanning forest of the links it finds, not
+the pairs, which keeps the components and bounds the output by the entries
+read.  A list holds about 1/400 of the different fingerprints, so the tallies
+grow with their square: a million of them take one core about 85 seconds.
 
 Defined cases: a null text has no words; a text without words has the
 fingerprint zero and is linked like any other; with fewer words than a shingle
@@ -25,8 +27,8 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -114,20 +116,42 @@ def verified_links(left: np.ndarray, right: np.ndarray, max_bits: int, min_bytes
     """
     links: list[tuple[int, int]] = []
     a, b = left.view(np.uint64), right.view(np.uint64)
+    by_byte = b.view(np.uint8).reshape(-1, BYTES)
     for at in range(0, len(a), 256):
-        x = a[at:at + 256, None] ^ b[None, :]
-        near = np.bitwise_count(x) <= max_bits
-        i, j = np.nonzero(near)
-        if not len(i):
+        x = a[at:at + 256]
+        mine = x.view(np.uint8).reshape(-1, BYTES)
+        tally = np.zeros((len(x), len(b)), np.uint8)
+        for p in range(BYTES):
+            tally += mine[:, p, None] == by_byte[None, :, p]
+        i, j = np.nonzero(tally >= min_bytes)
+        near = np.bitwise_count(x[i] ^ b[j]) <= max_bits
+        u, v = left[at + i[near]], right[j[near]]
+        if not len(u):
             continue
-        shared = (x[i, j].view(np.uint8).reshape(-1, BYTES) == 0).sum(1)
-        i, j = i[shared >= min_bytes], j[shared >= min_bytes]
-        u, v = left[at + i], right[j]
         old = np.array(links, np.int64).reshape(-1, 2)
         links = _forest(np.concatenate((old[:, 0], u[u != v])), np.concatenate((old[:, 1], v[u != v])))
     return links
 
 
+def byte_column(p: int) -> Column:
+    """Byte ``p`` of ``fp``, from 0 to 255."""
+    return F.shiftrightunsigned("fp", 8 * p).bitwiseAND(0xFF)
+
+
+def postings(entries: DataFrame, most: int) -> DataFrame:
+    """``fp, p, byte``: the ``most`` rarest positional bytes of each fingerprint, by their counts over all."""
+    one = entries.select(F.explode(F.array(*[F.struct(F.lit(p).alias("p"), byte_column(p).alias("byte")) for p in range(BYTES)])).alias("x"))
+    counted = one.groupBy("x.p", "x.byte").agg(F.count("*").alias("n")).collect()  # 2,048 rows at most
+    counts = [0] * (256 * BYTES)
+    for r in counted:
+        counts[256 * r["p"] + r["byte"]] = r["n"]
+    known = F.from_json(F.lit(json.dumps(counts)), "array<bigint>")
+    ranked = F.sort_array(F.array(*[F.struct(F.element_at(F.col("_n"), (256 * p + 1 + byte_column(p)).cast("int")).alias("n"),
+                                             F.lit(p).alias("p"), byte_column(p).alias("byte")) for p in range(BYTES)]))
+    return (entries.select("fp", known.alias("_n")).select("fp", F.explode(F.slice(ranked, 1, most)).alias("x"))
+            .select("fp", "x.p", "x.byte"))
+
+
 def near_links(entries: DataFrame, max_bits: int = 4, block: int = 2000) -> DataFrame:
     """``u, v``: links between distinct fingerprints ``fp`` that keep their components.
 
@@ -137,23 +161,15 @@ def near_links(entries: DataFrame, max_bits: int = 4, block: int = 2000) -> Data
     min_bytes = BYTES - max_bits
     if not 0 < min_bytes:
         raise ValueError("max_bits must be below the number of positional bytes")
-    masks = [(c, sum(0xFF << (8 * p) for p in chosen)) for c, chosen in enumerate(combinations(range(BYTES), min_bytes))]
-    signed = lambda m: m - (1 << 64) if m >> 63 else m
-    # a checkpointed table may lie in a few partitions; each row becomes 70 postings
+    # a checkpointed table may lie in a few partitions
     parts = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    postings = entries.select("fp").repartition(parts, "fp").select("fp", F.explode(F.array(*[
-        F.struct(F.lit(c).cast("short").alias("c"), F.col("fp").bitwiseAND(F.lit(signed(m))).alias("key"))
-        for c, m in masks])).alias("p")).select("p.c", "p.key", "fp")
-    lists = cut_lineage(postings.groupBy("c", "key")
-                        .agg(F.count("*").alias("n"), F.min("fp").alias("u"), F.max("fp").alias("v")).filter("n > 1"))
-    two = (lists.filter("n = 2").select("u", "v").distinct()
-           .filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits))
-    longer = lists.filter("n > 2").select("c", "key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    rows = (postings.join(longer, ["c", "key"])
+    posted = stored(postings(entries.select("fp").repartition(parts, "fp"), BYTES - min_bytes + 1), "postings")
+    lists = posted.groupBy("p", "byte").agg(F.count("*").alias("n")).filter("n > 1").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    rows = (posted.join(F.broadcast(lists.select("p", "byte", "blocks")), ["p", "byte"])  # 2,048 rows at most
             .withColumn("b", F.pmod(F.xxhash64("fp", F.lit(7)), F.col("blocks")).cast("int"))
             # block b meets every block: as the left one those from b on, as the right one those before
             .withColumn("o", F.explode(F.expr("sequence(0, blocks - 1)")))
-            .select("c", "key", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "fp"))
+            .select("p", "byte", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), "b", "fp"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         i, j = int(group["i"].iloc[0]), int(group["j"].iloc[0])
@@ -161,8 +177,7 @@ def near_links(entries: DataFrame, max_bits: int = 4, block: int = 2000) -> Data
         found = verified_links(fp[b == i], fp[b == j], max_bits, min_bytes)
         return pd.DataFrame(found, columns=["u", "v"], dtype="int64")
 
-    more = rows.groupBy("c", "key", "i", "j").applyInPandas(compare, "u long, v long")
-    return two.union(more.distinct())
+    return rows.groupBy("p", "byte", "i", "j").applyInPandas(compare, "u long, v long").distinct()
 
 
 def rooted(entries: DataFrame, max_bits: int = 4) -> DataFrame:

@@ -56,6 +56,58 @@ def test_op2_model_finds_planted_junk(make_docs):
     assert all(kept[i] for i, _ in good) and not any(kept[i] for i, _ in bad)
 
 
+def brute_em(votes, rounds=60, strength=20.0):
+    """EM over the documents themselves, from the method's start; the posterior of each."""
+    first = quality.START
+    q, good, bad = first.prior, [first.on_good[0]] * len(votes[0]), [first.on_bad[0]] * len(votes[0])
+    for _ in range(rounds):
+        post = []
+        for v in votes:
+            a, b = q, 1 - q
+            for x, g, o in zip(v, good, bad):
+                a *= 1 - sum(g) if x is None else g[x]
+                b *= 1 - sum(o) if x is None else o[x]
+            post.append(a / (a + b))
+        n = sum(post)
+        q = (n + strength * first.prior) / (len(votes) + strength)
+        for j in range(len(good)):
+            g = [(sum(p for p, v in zip(post, votes) if v[j] == k) + strength * first.on_good[0][k]) / (n + strength) for k in (0, 1)]
+            b = [(sum(1 - p for p, v in zip(post, votes) if v[j] == k) + strength * first.on_bad[0][k]) / (len(votes) - n + strength) for k in (0, 1)]
+            good[j], bad[j] = quality.rates(min(g[0], b[0]), g[1]), quality.rates(*b)
+    return post
+
+
+def test_op2_kept_and_quality_equal_em_by_hand(docs):
+    cols = [r.name for r in quality.RULES]
+    got = quality.quality_rules(docs, "doc_id").collect()
+    voting = [r for r in got if not r["base_failed"]]
+    post = dict(zip((r["doc_id"] for r in voting), brute_em([[r[c] for c in cols] for r in voting])))
+    for r in got:
+        assert r["kept"] == (not r["base_failed"] and post[r["doc_id"]] >= 0.5)
+        assert r["base_failed"] or abs(r["quality"] - post[r["doc_id"]]) < 1e-3
+    # not all rules have to pass
+    assert any(r["kept"] and 0 in [r[c] for c in cols] for r in got)
+
+
+def test_op2_em_finds_the_accuracy_of_noisy_rules(spark):
+    rng = np.random.default_rng(5)
+    n, share = 20_000, 0.8
+    # P(votes bad), P(votes good) on good and on bad documents; the third votes bad on one good document in five
+    on_good = [(0.01, 0.9), (0.02, 0.6), (0.2, 0.7), (0.05, 0.9), (0.1, 0.3), (0.01, 0.5)]
+    on_bad = [(0.9, 0.05), (0.7, 0.1), (0.5, 0.4), (0.6, 0.3), (0.6, 0.1), (0.8, 0.1)]
+    good = rng.random(n) < share
+    u = rng.random((n, 6))
+    rates = np.where(good[:, None, None], np.array(on_good)[None], np.array(on_bad)[None])
+    votes = np.where(u < rates[:, :, 0], 0, np.where(u < rates.sum(2), 1, -1))
+    rules = tuple(quality.Rule(f"r{j}", "false", "false") for j in range(6))
+    df = spark.createDataFrame([tuple(None if x < 0 else int(x) for x in v) for v in votes], ", ".join(f"r{j} int" for j in range(6)))
+    m = quality.fit_label_model(df, rules)
+    assert abs(m.prior - share) < 0.02
+    assert np.abs(np.array(m.on_good) - np.array(on_good)).max() < 0.03 and np.abs(np.array(m.on_bad) - np.array(on_bad)).max() < 0.05
+    right = [(share * g[1] + (1 - share) * b[0]) / (share * sum(g) + (1 - share) * sum(b)) for g, b in zip(on_good, on_bad)]
+    assert max(abs(a - b) for a, b in zip(m.accuracies(), right)) < 0.02
+
+
 def test_op3_keeps_maximal_conversations(spark):
     turns = [(1, 0, "user", "a"), (1, 1, "bot", "b"), (2, 0, "user", "a"), (3, 0, "user", "a"), (3, 1, "bot", "b"), (3, 2, None, None),
              (4, 0, "user", "a"), (4, 1, "bot", "c"), (4, 1, "bot", "c"), (5, None, "user", None), (6, 0, "user", "a"), (6, 1, "bot", "c")]
@@ -197,7 +249,31 @@ def test_op8_long_lists_are_cut_into_blocks(spark):
     df = spark.createDataFrame([(x,) for x in fps], "fp long")
     links = simhash.near_links(df, block=7)
     assert components(links).select("root").distinct().count() == 1
-    assert links.count() < 70 * len(fps) * 4
+    assert links.count() < 5 * len(fps) * 300 / 7 * 2  # a forest of each pair of blocks
+
+
+def test_op8_rarest_bytes_and_tally(spark):
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 63, 60).astype(np.int64)
+    common = base & ~np.int64(0xFFFFFF)  # three bytes that all share
+    flips = [int(x) for b in common for x in [b] + [b ^ np.bitwise_or.reduce(np.int64(1) << rng.choice(63, 4, replace=False).astype(np.int64))]]
+    df = spark.createDataFrame([(x,) for x in sorted(set(flips))], "fp long")
+    posted = simhash.postings(df, 5).collect()
+    counts = Counter((r["p"], (x >> 8 * r["p"]) & 255) for x in set(flips) for r in ({"p": p} for p in range(8)))
+    for x in set(flips):
+        mine = {(r["p"], r["byte"]) for r in posted if r["fp"] == x}
+        ranked = sorted((counts[p, (x >> 8 * p) & 255], p, (x >> 8 * p) & 255) for p in range(8))[:5]
+        assert mine == {(p, b) for _, p, b in ranked}
+    group = {x: {x} for x in flips}
+    for a in group:
+        for b in group:
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= 4 and group[a] is not group[b]:
+                both = group[a] | group[b]
+                group.update({x: both for x in both})
+    root = {r["fp"]: r["root"] for r in simhash.rooted(df).collect()}
+    assert root == {x: min(group[x]) for x in flips}
+    pair = np.array([0, 0x0101010101], np.int64)  # five bits in five bytes: three bytes shared, below the minimum
+    assert not simhash.verified_links(pair[:1], pair[1:], 5, 4) and simhash.verified_links(pair[:1], pair[1:], 5, 3)
 
 
 def test_op9(case):
