@@ -66,6 +66,9 @@ def uniform(salt: str, *keys: ColLike) -> Column:
 
 
 
+M32 = 4294967296
+
+
 def int_uniform(key: ColLike, salt: int) -> Column:
     """Cheap deterministic uniform in [0, 1) from a non-negative integer key.
 

@@ -107,3 +107,12 @@ def test_axis_ties_lowest_index(spark):
 def test_strip_takes_tabs_and_line_breaks(spark):
     assert one(spark, H.clean_state(F.lit("\tIdaho\n"))) == "Idaho"
     assert one(spark, H.first_clean_line(F.lit("\t\n\tBear Lake\r\n"))) == "Bear Lake"
+
+
+def test_int_uniform_matches_sql_formula(spark):
+    import duckdb
+    from habiflow.plans.fixtures import U_int, raster_generated
+    got = one(spark, H.int_uniform(F.lit(12345), 3))
+    assert got == duckdb.sql(f"SELECT {U_int('12345', 3)}").fetchall()[0][0]
+    # the cube as it is derived, not as an earlier run stored it
+    assert raster_generated(spark, "/root/testdata/sf0.001").limit(5).count() == 5
