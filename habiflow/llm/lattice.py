@@ -305,3 +305,28 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, points: int | No
 
 def op11_embedding_near_dedup(vectors: DataFrame) -> DataFrame:
     return near_duplicates(vectors)
+
+
+# all pairs, so it is for small tables
+OP11_SQL = """
+WITH RECURSIVE r AS (
+  SELECT row_number() OVER () AS i, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), x AS (
+  SELECT i, unnest(e) AS c FROM r
+), ok AS (
+  SELECT i, sqrt(sum(c * c)) AS n FROM x GROUP BY i HAVING bool_and(c IS NOT NULL AND isfinite(c)) AND sum(c * c) > 0
+), u AS (
+  SELECT r.i, r.vec_id, r.e, ok.n FROM r JOIN ok USING (i)
+), l AS (
+  SELECT a.i AS a, b.i AS b FROM u a JOIN u b
+  ON a.i <> b.i AND len(a.e) = len(b.e) AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.9
+), reach(a, b) AS (
+  SELECT i, i FROM r UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b
+), named AS (
+  SELECT reach.a AS i, min(r.vec_id) AS component_id FROM reach JOIN r ON r.i = reach.b GROUP BY reach.a
+), counted AS (
+  SELECT a AS i, count(*) AS n_links FROM l GROUP BY a
+)
+SELECT r.vec_id, coalesce(n_links, 0) AS n_links, component_id, coalesce(r.vec_id = component_id, false) AS kept
+FROM r JOIN named USING (i) LEFT JOIN counted USING (i)
+"""

@@ -51,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 SQL: dict[str, str] = {
     "op3_chat_formatting": chat.OP3_SQL,
     "op10_warc_revisits": warc.OP10_SQL,
+    "op11_embedding_near_dedup": lattice.OP11_SQL,
     "op12_ranked_search": lexical.OP12_SQL,
     "op13_filter_audit": filter_audit.OP13_SQL,
 }
