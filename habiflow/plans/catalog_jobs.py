@@ -44,7 +44,7 @@ FROM rc GROUP BY ilat, ilon""")
 def q_agg_min_by(spark, sf_dir):
     """Arg-min item per group (the driest time step of every cell)."""
     spec = FX.raster_spec(spark, sf_dir)
-    r = R.clean_raster(FX.raster(spark, sf_dir), spec)
+    r = R.clean_raster(FX.cube(spark, sf_dir), spec)
     return r.groupBy("ilat", "ilon").agg(F.min_by("time", "precipitation_amount").alias("driest_time"),
                                         F.round(F.min("precipitation_amount"), 6).alias("min_precipitation"))
 
@@ -113,7 +113,7 @@ def q_job_notebook_chain(spark, sf_dir):
     g = g.withColumn("datetime", H.multi_source_datetime())
     g = C.drop_any_null(g, ["datetime"])
     spec = FX.raster_spec(spark, sf_dir)
-    j = R.nearest_cell_join(g, FX.raster(spark, sf_dir), spec)
+    j = R.nearest_cell_join(g, FX.cube(spark, sf_dir), spec)
     return j.select("ord", "gbifID", "gridmet_lat", "gridmet_lon", "gridmet_date", *VARS)
 
 
@@ -171,7 +171,7 @@ def _score_points(spark, sf_dir):
 
 
 def _score_features(spark, sf_dir):
-    return JOBS.score_features(_score_points(spark, sf_dir), FX.raster(spark, sf_dir), FX.raster_spec(spark, sf_dir), FX.elev(spark), FX.soil(spark),
+    return JOBS.score_features(_score_points(spark, sf_dir), FX.cube(spark, sf_dir), FX.raster_spec(spark, sf_dir), FX.elev(spark), FX.soil(spark),
                                FEATURES, "2005-07-01")
 
 

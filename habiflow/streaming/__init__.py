@@ -110,6 +110,6 @@ def scratch_folders(spark: SparkSession, name: str) -> tuple[str, str, str]:
 def enrich_stream(spark: SparkSession, landing: str, schema, raster: DataFrame, spec: R.RasterSpec,
                   max_files: int = 1) -> DataFrame:
     """File stream of occurrences -> stateless clean -> stream-static
-    nearest-cell join."""
+    nearest-cell join, of the raster's days that the clean lets through."""
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
-    return R.nearest_cell_join(clean_stateless(s), raster, spec)
+    return R.nearest_cell_join(clean_stateless(s), raster, spec, days=(C.GRID_BOUNDS["time_min"], C.GRID_BOUNDS["time_max"]))
