@@ -14,10 +14,11 @@ common anchor can share a window:
 3. Anchors with different segments (the edges of passages) are dealt into
    buckets of strings.  In a bucket each shard of strings gets a suffix array
    and its Burrows-Wheeler transform; the transforms are merged by refining
-   their interleave symbol by symbol, without sorting the suffixes of the
-   union.  After round k, neighbours in one block share k bytes, so the blocks
-   after SPAN rounds are the repeated intervals.  An anchor with very many
-   segments is cut into single windows, which are dealt by their content.
+   their interleave, up to eight symbols a round, without sorting the suffixes
+   of the union.  Neighbours in one block share as many bytes as were read, and
+   suffixes alone in theirs are left out, so the blocks after SPAN bytes are the
+   repeated intervals.  An anchor with very many segments is cut into single
+   windows, which are dealt by their content.
 4. The removed windows of a text are joined to it.
 
 Defined cases: a null text counts as empty; texts under SPAN bytes lose
@@ -28,7 +29,7 @@ each; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,46 +42,60 @@ from habiflow.llm.common import stored, text_or_empty
 
 SPAN = 100
 GRAM = 40
+LEADING = 7   # symbols that fit into one number
 # small enough for a core's cache, where a round is several times as fast
 BUCKET_BYTES = 200_000
 SHARD_BYTES = 100_000
 HOT_SEGMENTS = 4000
 _BASE = 0x9E3779B97F4A7C15 | 1
+_INVERSE = pow(_BASE, -1, 1 << 64)
 _U = np.uint64
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+@functools.lru_cache(2)
+def _powers_to(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, _U)
     out[0] = 1
     return np.multiply.accumulate(out)
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    return _powers_to(base, 1 << 16)[:n] if n <= 1 << 16 else _powers_to.__wrapped__(base, n)
+
+
 def gram_hashes(buf: np.ndarray, gram: int) -> np.ndarray:
     """A 64-bit hash of each run of ``gram`` bytes: a polynomial by prefix sums, mixed."""
     n = len(buf)
-    inverse = pow(_BASE, -1, 1 << 64)
-    sums = np.concatenate((np.zeros(1, _U), np.cumsum((buf.astype(_U) + _U(1)) * _powers(inverse, n))))
+    sums = np.concatenate((np.zeros(1, _U), np.cumsum((buf.astype(_U) + _U(1)) * _powers(_INVERSE, n))))
     h = (sums[gram:] - sums[:-gram]) * _powers(_BASE, n)[: n - gram + 1]
     h ^= h >> _U(32)
     h *= _U(0xD6E8FEB86659FD93)
     return h ^ (h >> _U(32))
 
 
+def _sliding(least: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
+    """``least`` (minimum or maximum) of each run of ``width`` values."""
+    k, n = 1, len(x) - width + 1
+    while 2 * k <= width:
+        x = least(x[:-k], x[k:])
+        k *= 2
+    return least(x[:n], x[width - k:][:n]) if k < width else x
+
+
 def segments(buf: np.ndarray, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """Anchor, start and number of windows of each segment of a text of at least ``span`` bytes, and whether its
     anchor stands in it twice (then it may hold one window twice)."""
     h = gram_hashes(buf, gram)
-    width, least, k = span - gram + 1, h, 1
-    while 2 * k <= width:
-        least = np.minimum(least[:-k], least[k:])
-        k *= 2
-    if k < width:
-        least = np.minimum(least[: len(h) - width + 1], least[width - k:][: len(h) - width + 1])
+    width = span - gram + 1
+    least = _sliding(np.minimum, h, width)
     cut = np.flatnonzero(least[1:] != least[:-1]) + 1
     start = np.concatenate(([0], cut))
     anchor, n = least[start], np.diff(np.concatenate((start, [len(least)])))
-    values, seen = np.unique(h, return_counts=True)
-    twice = np.isin(anchor, values[seen > 1])
+    # runs that are the smallest of some window are few; an anchor that stands twice in its segment is two of them
+    edge = np.zeros(width - 1, _U)
+    smallest = np.sort(h[h == _sliding(np.maximum, np.concatenate((edge, least, edge)), width)])
+    again = smallest[1:][smallest[1:] == smallest[:-1]]
+    twice = np.isin(anchor, again) if len(again) else np.zeros(len(anchor), bool)
     for k in np.flatnonzero(twice).tolist():
         twice[k] = np.count_nonzero(h[start[k]:start[k] + n[k] + width - 1] == anchor[k]) > 1
     return anchor, start, n, twice
@@ -130,59 +145,93 @@ def cut_texts(docs: DataFrame, span: int, gram: int) -> DataFrame:
 # --- shards ------------------------------------------------------------------
 
 
-def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Order of the suffixes of symbols ``text`` by their first ``depth`` symbols at least: seven at once, then doubling."""
-    n, k = len(text), 7
+def leading(text: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` symbols from each place on as one number (``k`` up to 7), and whether a string ends in them."""
+    n = len(text)
     padded = np.concatenate((text.astype(np.int64), np.zeros(k, np.int64)))
     key = padded[:n].copy()
+    ended = padded[:n] == 0
     for i in range(1, k):
         key = key * 257 + padded[i:i + n]
-    while True:
-        order = np.argsort(key, kind="stable")
-        ahead = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate(([0], ahead[1:] != ahead[:-1])))
-        if k >= depth or rank[order[-1]] == n - 1:
-            return order
-        key = rank * (n + 1)
-        key[:-k if k < n else 0] += rank[k:] + 1
+        ended |= padded[i:i + n] == 0
+    return key, ended
+
+
+def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
+    """Order of the suffixes of symbols ``text`` by their first ``depth`` symbols at least: seven at once, then
+    doubling, which sorts only suffixes that are still equal."""
+    n, k = len(text), LEADING
+    key, _ = leading(text, k)
+    order = np.argsort(key)
+    rank = np.empty(n, np.int64)
+    new = np.ones(n, bool)
+    np.not_equal(key[order[1:]], key[order[:-1]], out=new[1:])
+    # the rank of a suffix is the first place of those equal to it
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    while k < depth:
+        places = np.flatnonzero(~new | np.append(~new[1:], False))
+        if not len(places):
+            break
+        own = order[places]
+        ahead = own + k
+        key = rank[own] * (n + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
+        by = np.argsort(key)
+        own, key = own[by], key[by]
+        order[places] = own
+        first = np.concatenate(([True], key[1:] != key[:-1]))
+        new[places] = first
+        rank[own] = np.maximum.accumulate(np.where(first, places, 0))
         k *= 2
+    return order
 
 
-def transform(text: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """The symbol before each suffix, in their order; 0 before the start of a string."""
-    return text[order - 1]
+def transform(text: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The symbol before each suffix, in their order (0 before the start of a string), and the place in that order
+    of the suffix one symbol longer."""
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    return text[order - 1], place[order - 1]
 
 
-def merge_transforms(parts: list[np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Interleave of the transforms (which part each merged suffix is from) and the block of each.
+def merge_transforms(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes of which others have the same first ``depth`` symbols: their place in the concatenated parts, and
+    their block, in merged order.
 
-    A round reads the parts' symbols in the order so far and deals the
-    suffixes stably by them: their order by one more leading symbol.  Suffixes
-    are in one block as long as their leading symbols are equal and no string
-    (symbol 0 ends one) has ended.
+    A part is a transform's symbols and places, and the number of its suffixes' first symbols, with whether a
+    string ends in these.  The parts are merged by those first; then a round reads the symbols in the order so far
+    and deals the suffixes stably by them: their order by one more leading symbol, or by eight, four or two, as
+    numbers that tell runs of symbols apart.  Suffixes are in one block as long as their leading symbols are equal
+    and no string (symbol 0 ends one) has ended.  One that is alone in its block is settled, and so are all longer
+    ones from it on: it takes no part in later rounds.
     """
-    z = np.repeat(np.arange(len(parts), dtype=np.uint8 if len(parts) < 256 else np.int32), [len(p) for p in parts])
-    # few symbols occur: as bytes they are dealt faster
-    known = np.unique(np.concatenate([np.zeros(1, np.uint16), *parts]))
-    kind = np.uint8 if len(known) <= 256 else np.uint16
-    parts = [np.searchsorted(known, p).astype(kind) for p in parts]
-    block = np.zeros(len(z), np.int32)
-    symbols = np.empty(len(z), kind)
-    new = np.ones(len(z), bool)
-    for _ in range(depth):
-        for s, p in enumerate(parts):
-            symbols[z == s] = p
-        order = np.argsort(symbols, kind="stable")
-        c, old = symbols[order], block[order]
-        np.not_equal(c[1:], c[:-1], out=new[1:])
-        new[1:] |= old[1:] != old[:-1]
-        new |= c == 0
-        z = z[order]
-        np.cumsum(new, dtype=np.int32, out=block)
-        if block[-1] == len(block):
+
+    def shared(at: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        more = ~(new & np.append(new[1:], True))
+        return at[more], np.cumsum(new, dtype=np.int32)[more]
+
+    start = np.cumsum([0, *[len(p[0]) for p in parts[:-1]]])
+    symbols, before, key, ended = map(np.concatenate, zip(*[(p[0], p[1] + np.int32(s), *p[2:]) for p, s in zip(parts, start)]))
+    steps, step = [(1, symbols, before)], 1
+    while step < 8:
+        _, symbols, before = steps[-1]
+        ahead = symbols[before].astype(np.int64)
+        known, symbols = np.unique(np.where((symbols == 0) | (ahead == 0), 0, ahead << 16 | symbols), return_inverse=True)
+        if len(known) > 1 << 16:
             break
-    return z, block
+        step *= 2
+        steps.append((step, symbols.astype(np.uint16), before[before]))
+    at = np.argsort(key, kind="stable").astype(np.int32)
+    c = key[at]
+    at, block = shared(at, np.concatenate(([True], c[1:] != c[:-1])) | ended[at])
+    left = depth - min(depth, LEADING)
+    for step, symbols, before in reversed(steps):
+        while left >= step and len(at):
+            left -= step
+            c = symbols[at]
+            order = np.argsort(c, kind="stable")
+            c, old, at = c[order], block[order], before[at[order]]
+            at, block = shared(at, np.concatenate(([True], (c[1:] != c[:-1]) | (old[1:] != old[:-1]))) | (c == 0))
+    return at, block
 
 
 def repeated_windows(strings: list[bytes], span: int = SPAN, shard_bytes: int = SHARD_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,15 +248,12 @@ def repeated_windows(strings: list[bytes], span: int = SPAN, shard_bytes: int =
         text = np.concatenate([np.append(np.frombuffer(strings[k], np.uint8).astype(np.uint16) + 1, np.uint16(0)) for k in own])
         lengths = np.array([len(strings[k]) + 1 for k in own])
         order = suffix_array(text, span)
-        parts.append(transform(text, order))
+        key, ended = leading(text, min(span, LEADING))
+        parts.append((*transform(text, order), key[order], ended[order]))
         owners.append(np.repeat(np.array(own), lengths)[order])
         offsets.append((np.arange(len(text)) - np.repeat(np.cumsum(lengths) - lengths, lengths))[order])
-    z, block = merge_transforms(parts, span)
-    owner, offset = np.empty(len(z), np.int64), np.empty(len(z), np.int64)
-    for s in range(len(parts)):
-        owner[z == s], offset[z == s] = owners[s], offsets[s]
-    more = np.bincount(block)[block] > 1
-    return owner[more], offset[more], block[more]
+    at, block = merge_transforms(parts, span)
+    return np.concatenate(owners)[at], np.concatenate(offsets)[at], block
 
 
 def later_windows(strings: list[bytes], rank: np.ndarray, span: int = SPAN) -> list[tuple[int, int, int]]:
