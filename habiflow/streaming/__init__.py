@@ -21,6 +21,10 @@ from habiflow.operators import raster as R
 from habiflow.session import stage_path
 
 
+# The days that :func:`clean_stateless` lets through.
+DAYS = (C.GRID_BOUNDS["time_min"], C.GRID_BOUNDS["time_max"])
+
+
 def clean_stateless(df: DataFrame, time_filter: bool = True) -> DataFrame:
     """L1 without the keep-first de-duplication (which needs state; see
     :func:`dedup_stream`)."""
@@ -110,6 +114,7 @@ def scratch_folders(spark: SparkSession, name: str) -> tuple[str, str, str]:
 def enrich_stream(spark: SparkSession, landing: str, schema, raster: DataFrame, spec: R.RasterSpec,
                   max_files: int = 1) -> DataFrame:
     """File stream of occurrences -> stateless clean -> stream-static
-    nearest-cell join, of the raster's days that the clean lets through."""
+    nearest-cell join, of the raster's days that the clean lets through.  A
+    raster from :func:`R.held_days` is not shuffled for each micro-batch."""
     s = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(landing)
-    return R.nearest_cell_join(clean_stateless(s), raster, spec, days=(C.GRID_BOUNDS["time_min"], C.GRID_BOUNDS["time_max"]))
+    return R.nearest_cell_join(clean_stateless(s), raster, spec, days=DAYS)
