@@ -24,11 +24,16 @@ FEATURES = list(FX.CLIMATE_VARS) + ["elevation", "soil_ph", "year"]
 ENV_FEATURES = list(FX.CLIMATE_VARS) + ["elevation", "soil_ph"]
 
 
+def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1: cleaned occurrences, written once per input folder: the geocoding reads them several times."""
+    return FX.materialize(spark, "clean", sf_dir, ("events",), lambda: C.clean_occurrences(FX.occ(spark, sf_dir)))
+
+
 def presences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L1 then L2: cleaned occurrences, geocoded where they lack coordinates (cascade, grid bounds,
     manual maps); rows still without any are dropped."""
     manual = FX.manual_geocodes(spark, sf_dir)
-    g = G.geocode_cascade(C.clean_occurrences(FX.occ(spark, sf_dir)), FX.gazetteer(spark, sf_dir), manual)
+    g = G.geocode_cascade(cleaned(spark, sf_dir), FX.gazetteer(spark, sf_dir), manual)
     g = G.apply_manual(C.filter_grid_bounds(g), manual)
     g = C.drop_any_null(g, ["decimalLatitude", "decimalLongitude"])
     return g.select("gbifID", "decimalLatitude", "decimalLongitude", "datetime", "year", "month", "day", "elevation", "used_llm", "geocode_pos")
