@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from habiflow import streaming as ST
 from habiflow.operators import clean as C
 from habiflow.operators import enrich as EN
 from habiflow.operators import raster as R
@@ -393,6 +394,6 @@ def q_ml_yield_score(spark, sf_dir):
     """K14 [plan]: synthetic yield (lbs/acre) from radiation, precipitation and
     soil pH of each enriched occurrence, bucketed in 5 equal bins."""
     spec = FX.raster_spec(spark, sf_dir)
-    j = R.nearest_cell_join(C.clean_occurrences(FX.occ(spark, sf_dir)), FX.cube(spark, sf_dir), spec)
+    j = R.nearest_cell_join(C.clean_occurrences(FX.occ(spark, sf_dir)), FX.cube(spark, sf_dir), spec, days=ST.DAYS)
     j = EN.fill_soil_ph(j, FX.soil(spark), spec)
     return RP.yield_score(j).select("gbifID", "yield_lbs_acre", "yield_bucket")
