@@ -17,8 +17,9 @@ common anchor can share a window:
    their interleave, up to eight symbols a round, without sorting the suffixes
    of the union.  Neighbours in one block share as many bytes as were read, and
    suffixes alone in theirs are left out, so the blocks after SPAN bytes are the
-   repeated intervals.  An anchor with very many segments is cut into single
-   windows, which are dealt by their content.
+   repeated intervals.  An anchor with more segments, or bytes, than a bucket
+   can hold is cut into single windows, of which the equal ones meet and all
+   but the first go, so no bucket grows with a passage's copies.
 4. The removed windows of a text are joined to it.
 
 Defined cases: a null text counts as empty; texts under SPAN bytes lose
@@ -274,6 +275,25 @@ def later_windows(strings: list[bytes], rank: np.ndarray, span: int = SPAN) -> l
 COVERED = "doc_id long, h long, start long, n long"
 
 
+def dealt(parts: DataFrame, span: int = SPAN, bucket_bytes: int = BUCKET_BYTES, hot_segments: int = HOT_SEGMENTS) -> tuple[DataFrame, DataFrame]:
+    """Of ``parts(doc_id, h, anchor, start, bytes)`` the strings to merge with their ``bucket``, and the repeated
+    windows of the anchors that are cut into single ones."""
+    held = parts.groupBy("anchor").agg(F.count("*").alias("_c"), F.sum(F.length("bytes")).alias("_s"))
+    hot = held.filter((F.col("_c") > hot_segments) | (F.col("_s") > 2 * span * hot_segments)).select("anchor")
+    # equal windows have two equal hashes, and one anchor: all of them are here
+    single = (parts.join(hot, "anchor", "left_semi")
+              .withColumn("o", F.explode(F.expr(f"sequence(0, length(bytes) - {span})")))
+              .select("doc_id", "h", (F.col("start") + F.col("o")).alias("start"), F.expr(f"substring(bytes, o + 1, {span})").alias("bytes"))
+              .select("doc_id", "h", "start", F.xxhash64("bytes").alias("k"), F.xxhash64(F.lit(5), "bytes").alias("k2")))
+    equal = Window.partitionBy("k", "k2").orderBy(F.col("doc_id").asc_nulls_first(), "h", "start")
+    again = single.withColumn("_r", F.row_number().over(equal)).filter("_r > 1").select("doc_id", "h", "start", F.lit(1).cast("long").alias("n"))
+    plain = parts.join(hot, "anchor", "left_anti").select("doc_id", "h", "start", "bytes", F.col("anchor").alias("k"))
+    size = parts.agg(F.sum(F.length("bytes"))).first()[0] or 0
+    buckets = max(1, -(-size // bucket_bytes))
+    strings = plain.withColumn("bucket", F.pmod(F.xxhash64("k", F.lit(3)), F.lit(buckets)))
+    return strings, again
+
+
 def removed_windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM, bucket_bytes: int = BUCKET_BYTES,
                     hot_segments: int = HOT_SEGMENTS) -> DataFrame:
     """``doc_id, h, start, n``: runs of windows of ``docs(doc_id, h, text)`` that also start earlier."""
@@ -296,15 +316,7 @@ def removed_windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM, bucket_
         f"transform(_e, e -> struct(e.anchor as anchor, e.start as start, "
         f"substring(_b, cast(e.start + 1 as int), cast(e.n + {span - 1} as int)) as bytes))")).alias("e"))
     parts = stored(parts.select("doc_id", "h", "e.anchor", "e.start", "e.bytes").distinct(), "edges")
-    hot = parts.groupBy("anchor").count().filter(F.col("count") > hot_segments).select("anchor")
-    single = (parts.join(hot, "anchor", "left_semi")
-              .withColumn("o", F.explode(F.expr(f"sequence(0, length(bytes) - {span})")))
-              .select("doc_id", "h", (F.col("start") + F.col("o")).alias("start"), F.expr(f"substring(bytes, o + 1, {span})").alias("bytes"))
-              .withColumn("k", F.xxhash64("bytes")))
-    plain = parts.join(hot, "anchor", "left_anti").select("doc_id", "h", "start", "bytes", F.col("anchor").alias("k"))
-    size = parts.agg(F.sum(F.length("bytes"))).first()[0] or 0
-    buckets = max(1, -(-size // bucket_bytes))
-    strings = plain.union(single).withColumn("bucket", F.pmod(F.xxhash64("k", F.lit(3)), F.lit(buckets)))
+    strings, again = dealt(parts, span, bucket_bytes, hot_segments)
 
     def merge(key: tuple, t: pa.Table) -> pa.Table:
         t = t.sort_by([("doc_id", "ascending"), ("h", "ascending"), ("start", "ascending")])
@@ -318,7 +330,7 @@ def removed_windows(docs: DataFrame, span: int = SPAN, gram: int = GRAM, bucket_
         return pa.table({"doc_id": own.column("doc_id"), "h": own.column("h"), "start": start, "n": n})
 
     merged = strings.groupBy("bucket").applyInArrow(merge, COVERED)
-    return local.union(whole).union(merged)
+    return local.union(whole).union(again).union(merged)
 
 
 def suffix_dedup(docs: DataFrame, span: int = SPAN, gram: int = GRAM, **sizes: int) -> DataFrame:
