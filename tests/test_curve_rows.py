@@ -8,25 +8,23 @@ from pyspark.sql import functions as F
 from habiflow.operators import model as M
 
 
-def _rows(spark, n=300):
-    return spark.range(n).select(F.col("id").cast("string").alias("k"), (F.col("id") % 5).cast("int").alias("fold"), (F.col("id") * 0.5).alias("x"))
-
-
-def test_stored_rows_are_the_curve_rows(spark):
-    df = _rows(spark).union(_rows(spark, 20)).union(spark.sql("select cast(null as string) as k, 1 as fold, 0.5D as x"))
-    a, b = M.curve_rows(df, "k"), M.stored_curve_rows(df, "k")
-    assert sorted(a.columns) == sorted(b.columns) and dict(a.dtypes) == dict(b.dtypes)
-    key = lambda d: sorted(map(str, d.select(a.columns).collect()))
-    assert key(a) == key(b)
-
-
-def test_a_fit_reads_its_own_rows_only(spark):
-    b = M.stored_curve_rows(_rows(spark), "k")
-    one = b.filter((F.col("held") == 2) & (F.col("step") <= 3))
-    files, some = set(b.inputFiles()), {r[0] for r in one.select(F.input_file_name()).distinct().collect()}
-    assert 0 < len(some) < len(files) / 10
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "held" in plan.split("PartitionFilters: [")[1].split("]")[0]
+class _Spy:
+    def __init__(self, pipe):
+        self.pipe, self.seen = pipe, []
+
+    def fit(self, train):
+        self.seen.append((train, train.storageLevel.useMemory))
+        return self.pipe.fit(train)
+
+
+def test_a_fit_holds_its_own_rows_while_it_runs(spark):
+    df = spark.range(200).select(F.col("id").cast("string").alias("k"), (F.col("id") % 5).cast("int").alias("fold"),
+                                 (F.col("id") * 0.5).alias("x"), (F.col("id") % 3 == 0).cast("int").alias("occurrence"))
+    spy = _Spy(M.random_forest(["x"], trees=2, depth=2))
+    curve = {r["step"]: r["n_train"] for r in M.learning_curve(df, spy, "k", steps=2).collect()}
+    assert curve == {1: 80, 2: 160} and len(spy.seen) == 10
+    assert all(held for _, held in spy.seen)
+    assert not any(train.storageLevel.useMemory for train, _ in spy.seen)
 
 
 def test_fits_at_a_time_follow_the_share_they_take(spark, monkeypatch):
